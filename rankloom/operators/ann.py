@@ -121,7 +121,7 @@ class ListIndex:
             raise ValueError("nprobe must be positive")
         decode = None
         if self.codebooks is not None:
-            decode = residual_decoder(self.centroids, self.codebooks)
+            decode = ResidualDecoder(self.centroids, self.codebooks)
         batch = queries if isinstance(queries, QueryBatch) else QueryBatch.of(queries)
         return search(
             self.table,
@@ -237,15 +237,16 @@ def _coded(listed: DataFrame, centroids: np.ndarray, codebooks: np.ndarray) -> D
     return listed.mapInArrow(run, "pos bigint, lists array<int>, codes array<smallint>")
 
 
-def residual_decoder(centroids: np.ndarray, codebooks: np.ndarray):
+@dataclass(frozen=True)
+class ResidualDecoder:
     """Approximate vectors from list numbers and codes."""
-    books = np.where(np.isfinite(codebooks), codebooks, 0.0)
 
-    def decode(lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        pieces = [book[codes[:, part]] for part, book in enumerate(books)]
-        return centroids[lists] + np.concatenate(pieces, axis=1)
+    centroids: np.ndarray
+    codebooks: np.ndarray
 
-    return decode
+    def __call__(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        pieces = [book[codes[:, part]] for part, book in enumerate(self.codebooks)]
+        return self.centroids[lists] + np.concatenate(pieces, axis=1)
 
 
 @dataclass(frozen=True)

@@ -61,10 +61,11 @@ def encode_with_model(
         for batch in batches:
             texts = batch.column(text).to_pylist()
             for at in range(0, len(texts), batch_size):
-                made = np.asarray(model.encode(texts[at : at + batch_size]), dtype=np.float32)
+                made = np.asarray(model.encode(texts[at : at + batch_size]), dtype=np.float64)
                 if normalise:
                     lengths = np.linalg.norm(made, axis=1, keepdims=True)
-                    made = made / np.maximum(lengths, np.float32(fv.NORM_FLOOR))
+                    made = made / np.maximum(lengths, fv.NORM_FLOOR)
+                made = made.astype(np.float32)
                 ids = batch.column(key).slice(at, len(made))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(list(made), pa.list_(pa.float32()))], [key, "embedding"]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..session import settle_table
-from .ordering import Desc, first_rows
+from .lexical import LexicalIndex
+from .ordering import Desc, first_rows, join_small, row_count_within
 
 
 def parse_qrels(rows: DataFrame) -> DataFrame:
@@ -153,3 +154,48 @@ def query_summary(queries: DataFrame, qrels: DataFrame) -> DataFrame:
         "label_rule",
         F.coalesce("relevant_models", F.lit(0)).alias("relevant_models"),
     )
+
+
+def containing_documents(queries: DataFrame, docs: DataFrame, index: LexicalIndex) -> DataFrame:
+    """(query_id, model_id) of the documents whose text holds the query text.
+
+    A document can only hold a passage if it has the inner tokens of it (the
+    first and last may be parts of longer words). The rarest inner token leads to
+    the candidates; only their texts are compared. Passages of fewer than three
+    tokens are compared with every document.
+    """
+    words = queries.select("query_id", "text", tx.tokens("text").alias("w"))
+    inner = words.where(F.size("w") > 2).select(
+        "query_id", F.explode(F.slice("w", F.lit(2), F.size("w") - 2)).alias("term")
+    )
+    led = inner.distinct().join(index.terms.select("term", "df"), "term", "left")
+    rarest = led.groupBy("query_id").agg(
+        F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), "term")).alias("term")
+    )
+    spots = settle_table(
+        small_join(index.entries.select("term", "pos"), rarest, "term").select("query_id", "pos")
+    )
+    asked = queries.select("query_id", "text")
+    holds = F.contains("body", "text")
+    long = (
+        docs.select("pos", "model_id", "body")
+        .join(spots, "pos")
+        .join(F.broadcast(asked) if row_count_within(asked) is not None else asked, "query_id")
+        .where(holds)
+    )
+    out = long.select("query_id", "model_id")
+    short = settle_table(words.where(F.size("w") <= 2).select("query_id", "text"))
+    if short.isEmpty():
+        return out
+    texts = short.agg(F.collect_list(F.struct("query_id", "text")).alias("all")).first()["all"]
+    asked_all = F.array(*[F.struct(F.lit(t.query_id).alias("query_id"), F.lit(t.text).alias("text")) for t in texts])
+    found = docs.select("model_id", "body", F.explode(asked_all).alias("s")).where(
+        F.contains("body", "s.text")
+    )
+    return out.unionByName(found.select("s.query_id", "model_id"))
+
+
+def small_join(entries: DataFrame, wanted: DataFrame, on: str) -> DataFrame:
+    """Postings of a few terms: broadcast when counted small, salted otherwise."""
+    wanted = settle_table(wanted)
+    return join_small(entries, wanted, on, row_count_within(wanted), F.col("pos"))

@@ -63,6 +63,14 @@ def term_table(entries: DataFrame) -> DataFrame:
     )
 
 
+def document_count(docs: DataFrame) -> int:
+    """Number of documents; positions that are not 0..n-1 raise ValueError."""
+    row = docs.agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high")).first()
+    if row.n and (row.low, row.high) != (0, row.n - 1):
+        raise ValueError(f"pos must run from 0 to {row.n - 1}, found {row.low}..{row.high}; number the rows first")
+    return row.n
+
+
 def raw_idf(df: Column, documents: Column | int) -> Column:
     n = documents if isinstance(documents, Column) else F.lit(documents)
     return F.log(n - df + 0.5) - F.log(df + 0.5)
@@ -92,7 +100,6 @@ class LexicalIndex:
     (a bucketed table), so that scoring needs no shuffle for them.
     """
 
-    docs: DataFrame
     entries: DataFrame
     terms: DataFrame
     stats: CorpusStats
@@ -106,7 +113,7 @@ class LexicalIndex:
         """
         entries = postings(packed_documents(docs))
         terms = settle_table(term_table(entries))
-        return cls(docs.select("pos"), entries, terms, corpus_stats(terms, docs.count()))
+        return cls(entries, terms, corpus_stats(terms, document_count(docs)))
 
     def query_terms(self, batch: QueryBatch) -> DataFrame:
         """(query_id, term, weight): idf times the token's count in the query.
@@ -215,8 +222,7 @@ def save_index(docs: DataFrame, path: str, buckets: int = 8, body_limit: int | N
     )
     entries = spark.table(table)
     term_table(entries).write.mode("overwrite").parquet(f"{path}/terms")
-    docs.select("pos").write.mode("overwrite").parquet(f"{path}/docs")
-    stats = corpus_stats(spark.read.parquet(f"{path}/terms"), docs.count())
+    stats = corpus_stats(spark.read.parquet(f"{path}/terms"), document_count(docs))
     manifest = {**asdict(stats), "buckets": buckets, "format": 1, "body_limit": body_limit or 0,
                 "fields": "title,body"}
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode(
@@ -251,7 +257,6 @@ def load_index(
         found["documents"], found["tokens"], found["vocabulary"], found["mean_idf"]
     )
     return LexicalIndex(
-        spark.read.parquet(f"{path}/docs"),
         spark.table(table),
         spark.read.parquet(f"{path}/terms"),
         stats,

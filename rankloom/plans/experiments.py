@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..operators import evaluate as ev
+from ..operators import profile as pf
 from ..operators import rerank as rr
 from ..operators.ann import ListIndex, ProjectionIndex, recall
 from ..operators.dense import search
+from ..operators.encode import HashedTermEncoder
 from ..operators.fusion import fuse
 from ..operators.ordering import QueryBatch
 from ..session import settle_table
@@ -228,3 +230,57 @@ def _written(index):
 def batch_latency(seconds: float, queries: int) -> float:
     """Mean milliseconds per query of one job over a batch."""
     return 1000.0 * seconds / queries if queries else 0.0
+
+
+def profile_vectors(
+    rows: DataFrame, *, sample_rows: int = 10_000, clusters: int = 12, n_pairs: int = 20_000,
+    seed: int = fv.SEED,
+) -> DataFrame:
+    """One row: lengths of all vectors, cosines, variance and clusters of a sample."""
+    spark = rows.sparkSession
+    sample = settle_table(
+        pf.sample_rows(rows, sample_rows, seed)
+    )
+    n = sample.count()
+    stats = pf.norm_stats(rows)
+    cosines = pf.cosine_distribution(pf.pair_cosines(sample, n_pairs, seed)).first()
+    dim = len(sample.first().embedding) if n else 0
+    components = min(50, dim, n)
+    ratios = pf.Projection(sample, components).explained if n > 1 else []
+    sizes = pf.fit_kmeans(sample, clusters, seed).groupBy("cluster").count() if n > 1 else None
+    values = {
+        "sample_size": n,
+        "pca_components": components,
+        "explained_variance_pc1": ratios[0] if ratios else None,
+        "explained_variance_pc2": ratios[1] if len(ratios) > 1 else None,
+        "cumulative_explained_variance_10": sum(ratios[:10]) if ratios else None,
+        "cumulative_explained_variance_50": sum(ratios) if ratios else None,
+        "n_clusters": sizes.count() if sizes is not None else n,
+    }
+    if cosines is not None:
+        values.update({f"cosine_{k}": v for k, v in cosines.asDict().items()})
+    return stats.select("*", *[F.lit(v).alias(k) for k, v in values.items()])
+
+
+def encoder_experiment(
+    rows: DataFrame, encoders: dict[str, int], *, target_dim: int, sample_rows: int = 5_000
+) -> DataFrame:
+    """Encode with each encoder, profile each result, and shrink the first one.
+
+    rows: pos, text and metadata. encoders: name to dimension of the default
+    encoder.
+    """
+    parts, first = [], None
+    for name, dim in encoders.items():
+        encoder = HashedTermEncoder(dim).fit(rows)
+        vectors = settle_table(encoder.encode(rows).select("pos", "embedding"))
+        parts.append(named(profile_vectors(vectors, sample_rows=sample_rows), representation=name))
+        if first is None:
+            first = (name, dim, vectors)
+    name, dim, vectors = first
+    small, _ = pf.shrink(vectors, target_dim, dim=dim, fit_rows=sample_rows)
+    small = settle_table(small)
+    parts.append(
+        named(profile_vectors(small, sample_rows=sample_rows), representation=f"{name}-pca{target_dim}")
+    )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -185,8 +185,11 @@ def fused(k: int, a: str = "bm", b: str = "dn", name: str = "hy", extra: str = "
 
 
 def metrics(by: str = "", frame: str = "q", results: str = "res", qrels: str = "qr",
-            cutoffs=fv.METRIC_CUTOFFS) -> str:
-    """CTE pq(by, query_id, relevant, mrr, p1, r1, n1, ...) of per-query metrics."""
+            cutoffs=fv.METRIC_CUTOFFS, tag: str = "") -> str:
+    """CTE pq(by, query_id, relevant, mrr, p1, r1, n1, ...) of per-query metrics.
+
+    tag goes into every CTE name, for a second use in one statement.
+    """
     lead = f"{by}, " if by else ""
     on = " AND ".join(f"f.{c.strip()} = h.{c.strip()}" for c in (lead + "query_id").split(","))
     sums = ", ".join(
@@ -200,15 +203,15 @@ def metrics(by: str = "", frame: str = "q", results: str = "res", qrels: str = "
         for k in cutoffs
     )
     return f"""
-jd AS (SELECT DISTINCT query_id, model_id FROM {qrels}),
-once AS (SELECT {lead}query_id, model_id, min(rank) AS rank FROM {results} GROUP BY ALL),
-placed AS (SELECT *, row_number() OVER (PARTITION BY {lead}query_id ORDER BY rank, model_id) AS place FROM once),
-hit AS (SELECT placed.* FROM placed JOIN jd USING (query_id, model_id)),
-hs AS (SELECT {lead}query_id, min(place) AS first, {sums} FROM hit GROUP BY ALL),
-tot AS (SELECT query_id, count(*) AS n FROM jd GROUP BY ALL),
-pq AS (SELECT f.*, coalesce(relevant0, 0) AS relevant, coalesce(1.0::DOUBLE / first, 0) AS mrr, {out}
-       FROM (SELECT {lead}f0.query_id, coalesce(tot.n, 0) AS relevant0 FROM {frame} f0 LEFT JOIN tot ON tot.query_id = f0.query_id) f
-       LEFT JOIN hs h ON {on}, LATERAL (SELECT f.relevant0 AS relevant))"""
+jd{tag} AS (SELECT DISTINCT query_id, model_id FROM {qrels}),
+once{tag} AS (SELECT {lead}query_id, model_id, min(rank) AS rank FROM {results} GROUP BY ALL),
+placed{tag} AS (SELECT *, row_number() OVER (PARTITION BY {lead}query_id ORDER BY rank, model_id) AS place FROM once{tag}),
+hit{tag} AS (SELECT p.* FROM placed{tag} p JOIN jd{tag} USING (query_id, model_id)),
+hs{tag} AS (SELECT {lead}query_id, min(place) AS first, {sums} FROM hit{tag} GROUP BY ALL),
+tot{tag} AS (SELECT query_id, count(*) AS n FROM jd{tag} GROUP BY ALL),
+pq{tag} AS (SELECT f.*, coalesce(relevant0, 0) AS relevant, coalesce(1.0::DOUBLE / first, 0) AS mrr, {out}
+       FROM (SELECT {lead}f0.query_id, coalesce(t.n, 0) AS relevant0 FROM {frame} f0 LEFT JOIN tot{tag} t ON t.query_id = f0.query_id) f
+       LEFT JOIN hs{tag} h ON {on}, LATERAL (SELECT f.relevant0 AS relevant))"""
 
 
 def metric_columns(cutoffs=fv.METRIC_CUTOFFS) -> str:
