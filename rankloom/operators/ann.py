@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from .dense import Best, Routing, as_matrix, block_scores, higher_is_better, search
-from .ordering import QueryBatch, random_rows, spread
+from .ordering import QueryBatch, random_rows
 
 # Training rows per centroid; more do not move the centroids.
 TRAIN_PER_CENTROID = 256
@@ -64,7 +64,7 @@ def assign_lists(vectors: DataFrame, centroids: np.ndarray, metric: str, keep: t
             )
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return spread(kept).mapInArrow(run, f"{schema}, lists array<int>")
+    return kept.mapInArrow(run, f"{schema}, lists array<int>")
 
 
 @dataclass(frozen=True)
@@ -279,7 +279,7 @@ class ProjectionIndex:
                     ["pos", "embedding", "lists"],
                 )
 
-        rows = spread(vectors.select("pos", "embedding"))
+        rows = vectors.select("pos", "embedding")
         listed = rows.mapInArrow(run, "pos bigint, embedding array<float>, lists array<int>")
         return cls(listed, axes, width, metric)
 

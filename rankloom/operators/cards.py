@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions import text as tx
-from .ordering import Desc, first_of_each, first_rows, number_rows, random_rows, spread
+from .ordering import Desc, first_of_each, first_rows, number_rows, random_rows
 
 
 def long_enough(body: str = "modelCard", min_chars: int = fv.MIN_CARD_CHARS) -> Column:
@@ -78,7 +78,7 @@ def without_repeats(cards: DataFrame, keys: tuple[str, ...] = ("model_id",)) ->
 
 
 def cleaned(cards: DataFrame) -> DataFrame:
-    return spread(cards).withColumn("modelCard", tx.clean_card("modelCard"))
+    return cards.withColumn("modelCard", tx.clean_card("modelCard"))
 
 
 def prepare(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
-from .ordering import QueryBatch, spread, top_per_group
+from .ordering import QueryBatch, top_per_group
 
 SCORE_DIGITS = 9
 # float32 values that a broadcast query matrix may hold (32 MB).
@@ -186,15 +186,15 @@ def search(
     matrix = as_matrix(table.column("embedding"), dim)
     k = batch.top_k
     routes = routing(matrix) if routing is not None else None
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix, routes, decode))
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix, routes, decode = shared.value
+        ids, matrix = shared.value
         if k > 0 and len(matrix):
             best = _search_blocks(batches, matrix, k, metric, routes, decode)
             yield pa.RecordBatch.from_arrays(_result(best, ids, metric), ["query_id", "pos", "score"])
 
-    found = spread(vectors).mapInArrow(scan, _schema(batch.df))
+    found = vectors.mapInArrow(scan, _schema(batch.df))
     return _ranked(found, batch, metric)
 
 

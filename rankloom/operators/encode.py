@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions import text as tx
-from .ordering import spread
 
 
 class HashedTermEncoder:
@@ -72,7 +71,7 @@ def encode_with_model(
                 )
 
     kind = rows.schema[key].dataType.simpleString()
-    return spread(rows.select(key, text)).mapInArrow(run, f"{key} {kind}, embedding array<float>")
+    return rows.select(key, text).mapInArrow(run, f"{key} {kind}, embedding array<float>")
 
 
 def encoder_queries(queries: DataFrame, encoder_name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..session import settle_table
-from .ordering import BROADCAST_ROWS, QueryBatch, join_small, small_side, spread, top_per_group
+from .ordering import BROADCAST_ROWS, QueryBatch, join_small, small_side, top_per_group
 
 SCORE_DIGITS = 9
 
@@ -37,7 +37,7 @@ class CorpusStats:
 def packed_documents(docs: DataFrame) -> DataFrame:
     """(pos, length, terms) of title and body; one row per document, no shuffle."""
     words = tx.tokens(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit(""))))
-    return spread(docs.select("pos", "title", "body")).select("pos", words.alias("words")).select(
+    return docs.select("pos", "title", "body").select("pos", words.alias("words")).select(
         "pos",
         F.size("words").cast("long").alias("length"),
         tx.term_counts(F.col("words")).alias("terms"),

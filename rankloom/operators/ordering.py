@@ -18,16 +18,6 @@ PRUNED_K = 1000
 SALTS = 64
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where the input arrives in fewer pieces than there are cores.
-
-    One file with one row group is one task however large it is. Inputs that
-    already come in enough pieces, as any large table does, are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def row_count_within(df: DataFrame, limit: int = BROADCAST_ROWS) -> int | None:
     """Number of rows, or None when there are more than limit."""
     n = df.limit(limit + 1).count()

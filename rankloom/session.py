@@ -23,6 +23,17 @@ def local_session(cpus: str | int = "*", partitions: int = 8, memory: str = "8g"
     )
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores where a scan has fewer pieces than there are cores.
+
+    One file with one row group is one task however large it is. Tables that
+    come in enough pieces, as any large one does, are left alone. Call it on a
+    plain scan: projections and filters still move below the repartition.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() < 3 * cores else scan
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as named by spark.checkpoint.dir."""
     named = spark.conf.get("spark.checkpoint.dir", None)

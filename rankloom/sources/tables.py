@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import spread
+
+
+# Tables whose rows are costly to work on: long texts and vectors.
+HEAVY = ("documents", "pages", "conversations", "embeddings")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in HEAVY else rows
 
 
 def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:

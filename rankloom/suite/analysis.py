@@ -67,7 +67,7 @@ def distinct_pairs(spark, sf_dir):
 def top_sql(value: str, n: int, name: str, source: str = "cl") -> str:
     return (
         f"{name} AS (SELECT cluster, string_agg(v || ':' || n, '; ' ORDER BY n DESC, v) AS {name} FROM ("
-        f"SELECT cluster, v, count(*) AS n FROM (SELECT cluster, {value} AS v FROM {source}) WHERE trim(v) <> '' GROUP BY ALL "
+        f"SELECT cluster, v, count(*) AS n FROM (SELECT cluster, {value} AS v FROM {source}) WHERE trim(v) <> '' GROUP BY cluster, v "
         f"QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, v) <= {n}) GROUP BY cluster)"
     )
 
@@ -154,12 +154,7 @@ def profile(spark, sf_dir):
 def two_encoders(spark, sf_dir):
     """Both encoders over all card texts, each profiled, the first one shrunk."""
     from ..functions import text as tx
-    from ..operators.ordering import spread
     from ..plans.experiments import encoder_experiment
 
-    rows = spread(
-        tb.cards(spark, sf_dir).select(
-            "pos", "model_id", "pipeline_tag", "library_name", "tags", tx.card_text().alias("text")
-        )
-    )
+    rows = tb.cards(spark, sf_dir).select("pos", tx.card_text().alias("text"))
     return encoder_experiment(rows, {"hashed-64": 64, "hashed-128": 128}, target_dim=16)

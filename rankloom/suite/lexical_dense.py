@@ -23,7 +23,7 @@ from ..operators.lexical import (
     term_table,
     with_idf,
 )
-from ..operators.ordering import QueryBatch, spread
+from ..operators.ordering import QueryBatch
 from ..plans import search as fl
 from ..session import settle_table, shared_dir
 from ..sources import tables as tb
@@ -276,7 +276,7 @@ def known_positions(spark, sf_dir):
 def unit_vectors(spark, sf_dir):
     """Vectors stretched by their label, brought back to unit length."""
     stretched = F.transform("embedding", lambda x: (x.cast("double") * (F.col("label") + 1)).cast("float"))
-    rows = spread(tb.vectors(spark, sf_dir)).select(F.col("pos").alias("vec_id"), stretched.alias("v"))
+    rows = tb.vectors(spark, sf_dir).select(F.col("pos").alias("vec_id"), stretched.alias("v"))
     return rows.select("vec_id", F.posexplode(vx.unit(F.col("v"))).alias("i", "x")).select(
         "vec_id", "i", F.round("x", 6).alias("x")
     )
@@ -412,7 +412,7 @@ def _card_texts(spark, sf_dir):
 @query("m1_encoded_cards")
 def encoded_cards(spark, sf_dir):
     """Every card as a unit vector of hashed term weights."""
-    rows = spread(_card_texts(spark, sf_dir))
+    rows = _card_texts(spark, sf_dir)
     out = HashedTermEncoder(384).fit(rows).encode(rows)
     norm = F.round(vx.norm(F.col("embedding")), 5)
     return out.select("pos", F.size("embedding").alias("dim"), norm.alias("norm"))
@@ -455,7 +455,7 @@ def model_encoder(spark, sf_dir):
 def encoded_search(spark, sf_dir):
     """Text queries through the default encoder against encoded documents."""
     docs = tb.search_docs(spark, sf_dir)
-    texts = spread(docs.select("pos", F.concat_ws(" ", "title", "body").alias("text")))
+    texts = docs.select("pos", F.concat_ws(" ", "title", "body").alias("text"))
     encoder = HashedTermEncoder(384).fit(texts)
     vectors = settle_table(encoder.encode(texts).select("pos", "embedding"))
     retriever = fl.dense_retriever(vectors, 384, encode=encoder.encode)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..operators import cards as cd
-from ..operators.ordering import spread
 from ..sources import tables as tb
 from . import sql as q
 from .registry import query
@@ -24,7 +23,7 @@ NO_ITEMS = "CAST([] AS VARCHAR[])"
     f"md5(array_to_string(w, ' ')) AS tokens_md5 FROM (SELECT doc_id, {q.tokens('text')} AS w FROM documents)",
 )
 def tokenize(spark, sf_dir):
-    docs = spread(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = docs.select("doc_id", tx.tokens("text").alias("w"))
     return rows.select(
         "doc_id",
@@ -40,7 +39,7 @@ def tokenize(spark, sf_dir):
     f"(SELECT doc_id, {q.clean('text')} AS c FROM documents)",
 )
 def clean_card(spark, sf_dir):
-    docs = spread(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = docs.select("doc_id", tx.clean_card("text").alias("c"))
     return rows.select("doc_id", F.length("c").alias("n_chars_clean"), F.md5("c").alias("clean_md5"))
 
@@ -51,7 +50,7 @@ def clean_card(spark, sf_dir):
     f"(SELECT page_id, {q.clean('html')} AS c FROM pages)",
 )
 def clean_pages(spark, sf_dir):
-    rows = spread(tb.table(spark, sf_dir, "pages").select("page_id", "html")).select(
+    rows = tb.table(spark, sf_dir, "pages").select("page_id", "html").select(
         "page_id", tx.clean_card("html").alias("c")
     )
     return rows.select("page_id", F.length("c").alias("n_chars_clean"), F.md5("c").alias("clean_md5"))
@@ -63,7 +62,7 @@ def clean_pages(spark, sf_dir):
     f"(SELECT doc_id, {q.compact('text', fv.CARD_TEXT_CHARS)} AS c FROM documents)",
 )
 def compact_text(spark, sf_dir):
-    docs = spread(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = docs.select("doc_id", tx.compact("text", fv.CARD_TEXT_CHARS).alias("c"))
     return rows.select("doc_id", F.length("c").alias("n_compact"), F.md5("c").alias("compact_md5"))
 
@@ -132,7 +131,7 @@ CARD_TEXT = f"""concat_ws(chr(10), 'Model ID: ' || model_id, 'Task: ' || pipelin
     f"(SELECT pos, {CARD_TEXT} AS t FROM cards)",
 )
 def card_text(spark, sf_dir):
-    rows = spread(tb.cards(spark, sf_dir)).select("pos", tx.card_text().alias("t"))
+    rows = tb.cards(spark, sf_dir).select("pos", tx.card_text().alias("t"))
     return rows.select("pos", F.length("t").alias("text_length"), F.md5("t").alias("text_md5"))
 
 
@@ -218,7 +217,7 @@ def tags_sentence(spark, sf_dir):
     f"(SELECT doc_id, {q.clip('text', fv.RERANK_TEXT_CHARS)} AS c FROM documents)",
 )
 def clip(spark, sf_dir):
-    docs = spread(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = docs.select("doc_id", tx.clip("text", fv.RERANK_TEXT_CHARS).alias("c"))
     return rows.select("doc_id", F.length("c").alias("n_clip"), F.md5("c").alias("clip_md5"))
 
@@ -231,7 +230,7 @@ def clip(spark, sf_dir):
     ),
 )
 def rerank_text(spark, sf_dir):
-    docs = spread(tb.search_docs(spark, sf_dir)).withColumn("snippet", tx.snippet("body"))
+    docs = tb.search_docs(spark, sf_dir).withColumn("snippet", tx.snippet("body"))
     texts = F.array(
         *[
             F.struct(F.lit(s).alias("strategy"), F.md5(tx.rerank_text(s)).alias("text_md5"))
