@@ -74,5 +74,3 @@ ABLATION_TEXTS = (
 )
 POPULAR_CARDS, RANDOM_CARDS, SEED = 150_000, 450_000, 42
 SILVER_LOW, SILVER_HIGH, SILVER_FALLBACK, SILVER_TARGET, SILVER_QUERIES = 10, 250, 5, 50, 5
-# Multiplicative sampling key: (id * A + seed) mod M.
-SAMPLE_A, SAMPLE_M = 2654435761, 4294967291

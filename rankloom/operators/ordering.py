@@ -132,8 +132,9 @@ def _reordered(column: str | Column, i: int) -> Column:
 
 
 def sample_key(ident: Column, seed: int = fv.SEED) -> Column:
-    """Repeatable pseudo-random key of a whole-number id."""
-    return F.pmod(ident * F.lit(fv.SAMPLE_A) + F.lit(seed), F.lit(fv.SAMPLE_M))
+    """Repeatable pseudo-random number of an id: the first 60 bits of a digest."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), ident.cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def random_rows(df: DataFrame, n: int, key: str = "pos", seed: int = fv.SEED) -> DataFrame:
@@ -147,8 +148,9 @@ def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_
     The winner is found by a partial aggregate over narrow rows, so a key that
     holds a third of the table costs one row per task.
     """
-    winner = df.groupBy(*keys).agg(F.min(F.struct(*order, row_key)).alias("_first"))
-    kept = winner.select(F.col(f"_first.{row_key}").alias(row_key))
+    place = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    winner = df.groupBy(*keys).agg(F.min(F.struct(*place, F.col(row_key).alias("_row"))).alias("_first"))
+    kept = winner.select(F.col("_first._row").alias(row_key))
     return df.join(kept, row_key, "left_semi")
 
 

@@ -63,8 +63,8 @@ def pair_cosines(sample: DataFrame, n_pairs: int = 20_000, seed: int = fv.SEED)
         return spark.createDataFrame([], "pair_no bigint, i bigint, j bigint, cosine double")
     ends = spark.range(n_pairs).select(
         F.col("id").alias("pair_no"),
-        F.pmod(sample_key(F.col("id") * 2, seed), F.lit(n)).alias("i"),
-        F.pmod(sample_key(F.col("id") * 2 + 1, seed), F.lit(n)).alias("j"),
+        F.pmod(sample_key(F.concat("id", F.lit("i")), seed), F.lit(n)).alias("i"),
+        F.pmod(sample_key(F.concat("id", F.lit("j")), seed), F.lit(n)).alias("j"),
     )
     rows = sample.select("row_no", vx.unit(F.col("embedding")).alias("v"))
     left = rows.select(F.col("row_no").alias("i"), F.col("v").alias("a"))

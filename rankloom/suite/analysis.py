@@ -28,16 +28,17 @@ def norm_stats(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("norm_mean", "norm_std", "norm_min", "norm_max")})
 
 
+PAIR_I, PAIR_J = q.sample_key("i0 || 'i'"), q.sample_key("i0 || 'j'")
 HALF = (
     f"smp AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS row_no, embedding, label FROM (SELECT * FROM embeddings "
-    f"ORDER BY (vec_id * {fv.SAMPLE_A} + {fv.SEED}) % {fv.SAMPLE_M}, vec_id LIMIT 10000))"
+    f"ORDER BY {q.sample_key('vec_id')}, vec_id LIMIT 10000))"
 )
 
 
 @query(
     "e4_pair_cosines",
     f"WITH {HALF}, n AS (SELECT count(*) AS n FROM smp), pr AS (SELECT i0 AS pair_no, "
-    f"((i0 * 2 * {fv.SAMPLE_A} + {fv.SEED}) % {fv.SAMPLE_M}) % n AS i, (((i0 * 2 + 1) * {fv.SAMPLE_A} + {fv.SEED}) % {fv.SAMPLE_M}) % n AS j "
+    f"{PAIR_I} % n AS i, {PAIR_J} % n AS j "
     f"FROM (SELECT unnest(range(20000)) AS i0), n), "
     f"c AS (SELECT list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) / "
     f"(sqrt(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[]))) * "
@@ -56,7 +57,7 @@ def pair_cosines(spark, sf_dir):
 @query(
     "c6_distinct_pairs",
     f"WITH {HALF}, n AS (SELECT count(*) AS n FROM smp), pr AS (SELECT i0 AS pair_no, "
-    f"((i0 * 2 * {fv.SAMPLE_A} + {fv.SEED}) % {fv.SAMPLE_M}) % n AS i, (((i0 * 2 + 1) * {fv.SAMPLE_A} + {fv.SEED}) % {fv.SAMPLE_M}) % n AS j "
+    f"{PAIR_I} % n AS i, {PAIR_J} % n AS j "
     f"FROM (SELECT unnest(range(20000)) AS i0), n) SELECT pair_no, i, j FROM pr WHERE i <> j",
 )
 def distinct_pairs(spark, sf_dir):

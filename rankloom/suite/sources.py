@@ -209,7 +209,7 @@ us AS (SELECT pos, model_id, likes, downloads, modelCard FROM cards WHERE length
        AND NOT regexp_matches(modelCard, {q.quoted(fv.AUTO_CARD)})),
 n AS (SELECT count(*) // 8 AS p, 3 * count(*) // 8 AS r FROM us),
 pop AS (SELECT *, row_number() OVER (ORDER BY downloads DESC, likes DESC, pos) - 1 AS place FROM us QUALIFY place < (SELECT p FROM n)),
-rnd AS (SELECT *, row_number() OVER (ORDER BY (pos * {fv.SAMPLE_A} + {fv.SEED}) % {fv.SAMPLE_M}, pos) - 1 AS place
+rnd AS (SELECT *, row_number() OVER (ORDER BY {q.sample_key('pos')}, pos) - 1 AS place
         FROM us WHERE pos NOT IN (SELECT pos FROM pop) QUALIFY place < (SELECT r FROM n)),
 smp AS (SELECT *, 0 AS stratum FROM pop UNION ALL SELECT *, 1 FROM rnd)"""
 
@@ -263,7 +263,7 @@ def first_of_repeats(spark, sf_dir):
 
 @query(
     "f7_random_rows",
-    f"SELECT pos FROM (SELECT vec_id AS pos FROM embeddings) ORDER BY (pos * {fv.SAMPLE_A} + {fv.SEED}) % {fv.SAMPLE_M}, pos "
+    f"SELECT pos FROM (SELECT vec_id AS pos FROM embeddings) ORDER BY {q.sample_key('pos')}, pos "
     f"LIMIT (SELECT count(*) // 3 FROM embeddings)",
 )
 def random_third(spark, sf_dir):

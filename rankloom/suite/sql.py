@@ -31,6 +31,10 @@ def clean(x: str) -> str:
     return strip(x)
 
 
+def sample_key(ident: str) -> str:
+    return f"CAST('0x' || substr(md5('{fv.SEED}:' || {ident}), 1, 15) AS BIGINT)"
+
+
 def compact(x: str, n: int) -> str:
     one = squeeze(x)
     return (
