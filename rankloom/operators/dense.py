@@ -63,12 +63,14 @@ class Best:
         self.pos = np.empty(0, np.int64)
         self.score = np.empty(0, np.float64)
 
-    def add(self, query_rows: np.ndarray, pos: np.ndarray, scores: np.ndarray) -> None:
+    def add(
+        self, query_rows: np.ndarray, pos: np.ndarray, scores: np.ndarray, above: float = -np.inf
+    ) -> None:
+        """Offer a block of scores (queries x vectors); only those above a bound count."""
+        wanted = scores > above
         if scores.shape[1] > self.k:
-            cut = np.partition(scores, -self.k, axis=1)[:, -self.k]
-            rows, cols = np.nonzero(scores >= cut[:, None])
-        else:
-            rows, cols = np.nonzero(np.ones(scores.shape, bool))
+            wanted &= scores >= np.partition(scores, -self.k, axis=1)[:, [-self.k]]
+        rows, cols = np.nonzero(wanted)
         self._keep(query_rows[rows], pos[cols], scores[rows, cols])
 
     def _keep(self, query, pos, score) -> None:

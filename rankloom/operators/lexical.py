@@ -4,22 +4,36 @@ All postings of a document sit in one partition. A score is then complete
 inside its partition, each task keeps the best k documents of every query, and
 only those few rows are shuffled. A frequent term, which holds a posting of
 nearly every document, is spread over all partitions by construction.
+
+There are two ways to the scores. While the batch's term weights fit a
+broadcast, they go to the documents: a task scores each Arrow batch as one
+sparse block and keeps the best rows, so nothing is shuffled but the result.
+Beyond that, and over a saved index, postings are joined with the weights and
+summed by (query, document).
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..session import settle_table
-from .ordering import BROADCAST_ROWS, QueryBatch, join_small, small_side, top_per_group
+from .dense import Best
+from .ordering import QueryBatch, join_small, small_side, top_per_group
 
 SCORE_DIGITS = 9
+# Bounds of the broadcast way: query tokens, result rows a task holds, and cells
+# of a block.
+BLOCK_WORDS, BLOCK_RESULTS, BLOCK_CELLS = 2_000_000, 2_000_000, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -44,66 +58,125 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def postings(packed: DataFrame) -> DataFrame:
-    """(pos, length, term, tf).
+def _exploded(packed: DataFrame) -> DataFrame:
+    """(pos, length, i, term, tf); a document without tokens has one row with nulls.
 
-    The outer explode keeps Spark from adding a pre-filter on the size of the
-    array, which would tokenise every text a second time.
+    The outer explode also keeps Spark from adding a pre-filter on the size of
+    the array, which would tokenise every text a second time.
     """
-    rows = packed.select("pos", "length", F.explode_outer("terms").alias("t"))
+    rows = packed.select("pos", "length", F.posexplode_outer("terms").alias("i", "t"))
     return rows.select(
-        "pos", "length", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")
-    ).where(F.col("term").isNotNull())
+        "pos", "length", "i", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")
+    )
 
 
-def term_table(entries: DataFrame) -> DataFrame:
-    """(term, df, cf) by a map-side combined count."""
-    return entries.groupBy("term").agg(
-        F.count("*").alias("df"), F.sum(F.col("tf").cast("long")).alias("cf")
-    )
+def postings(packed: DataFrame) -> DataFrame:
+    """(pos, length, term, tf)."""
+    return _exploded(packed).drop("i").where(F.col("term").isNotNull())
 
 
-def document_count(docs: DataFrame) -> int:
-    """Number of documents; positions that are not 0..n-1 raise ValueError."""
-    row = docs.agg(F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high")).first()
-    if row.n and (row.low, row.high) != (0, row.n - 1):
-        raise ValueError(f"pos must run from 0 to {row.n - 1}, found {row.low}..{row.high}; number the rows first")
-    return row.n
+def term_table(packed: DataFrame) -> DataFrame:
+    """(term, df, cf, documents, low, high) by a map-side combined count.
 
+    documents counts the documents whose first term this is, low and high bound
+    the positions seen; together they describe the collection, so that one pass
+    over the texts is enough. Empty documents make a row with a null term.
+    """
+    first = F.coalesce(F.col("i"), F.lit(0)) == 0
+    return _exploded(packed).groupBy("term").agg(
+        F.count("term").alias("df"),
+        F.coalesce(F.sum(F.col("tf").cast("long")), F.lit(0)).alias("cf"),
+        F.count_if(first).alias("documents"),
+        F.min("pos").alias("low"),
+        F.max("pos").alias("high"),
+    )
 
-def raw_idf(df: Column, documents: Column | int) -> Column:
-    n = documents if isinstance(documents, Column) else F.lit(documents)
-    return F.log(n - df + 0.5) - F.log(df + 0.5)
 
+def corpus_stats(terms: DataFrame) -> CorpusStats:
+    """Collection-wide numbers; two rows reach the driver.
 
-def corpus_stats(terms: DataFrame, documents: int) -> CorpusStats:
-    """Collection-wide numbers; one row reaches the driver."""
+    Positions that are not 0..n-1 raise ValueError.
+    """
     row = terms.agg(
+        F.coalesce(F.sum("documents"), F.lit(0)).alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+    ).first()
+    if row.n and (row.low, row.high) != (0, row.n - 1):
+        raise ValueError(
+            f"pos must run from 0 to {row.n - 1}, found {row.low}..{row.high}; number the rows first"
+        )
+    known = terms.where(F.col("term").isNotNull())
+    sums = known.agg(
         F.sum("cf").alias("tokens"),
         F.count("*").alias("vocabulary"),
-        F.avg(raw_idf(F.col("df"), documents)).alias("mean_idf"),
+        F.avg(raw_idf(F.col("df"), row.n)).alias("mean_idf"),
     ).first()
-    return CorpusStats(documents, row.tokens or 0, row.vocabulary, row.mean_idf or 0.0)
+    return CorpusStats(row.n, sums.tokens or 0, sums.vocabulary, sums.mean_idf or 0.0)
+
+
+def raw_idf(df: Column, documents: Column | int) -> Column:
+    n = documents if isinstance(documents, Column) else F.lit(documents)
+    return F.log(n - df + 0.5) - F.log(df + 0.5)
 
 
 def with_idf(terms: DataFrame, stats: CorpusStats) -> DataFrame:
     raw = raw_idf(F.col("df"), stats.documents)
     floor = F.lit(fv.BM25_EPSILON * stats.mean_idf)
-    return terms.withColumn("idf", F.when(raw < 0, floor).otherwise(raw))
+    known = terms.where(F.col("term").isNotNull())
+    return known.withColumn("idf", F.when(raw < 0, floor).otherwise(raw))
+
+
+@dataclass(frozen=True)
+class TermWeights:
+    """Weights of a query batch by term: start[t]..start[t+1] of query and weight."""
+
+    vocabulary: pa.Array
+    start: np.ndarray
+    query: np.ndarray
+    weight: np.ndarray
+
+    def parts(self) -> tuple:
+        return self.vocabulary, self.start, self.query, self.weight
+
+    def blocks(self, batch: pa.RecordBatch, n_queries: int, step: int, mean_length: float):
+        """(positions, queries x documents scores) of `step` documents at a time."""
+        pos = batch.column("pos").to_numpy()
+        length = batch.column("length").to_numpy()
+        lists = batch.column("terms")
+        entries = lists.flatten()
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        term = pc.index_in(entries.field("term"), value_set=self.vocabulary)
+        term = pc.fill_null(term, -1).to_numpy()
+        known = term >= 0
+        doc = np.repeat(np.arange(len(pos)), sizes)[known]
+        term, tf = term[known], entries.field("tf").to_numpy()[known]
+        k1, b = fv.BM25_K1, fv.BM25_B
+        rest = k1 * (1 - b + b * length / (mean_length or 1.0))
+        gain = tf * (k1 + 1) / (tf + rest[doc])
+        for first in range(0, len(pos), step):
+            n = min(step, len(pos) - first)
+            low, high = np.searchsorted(doc, (first, first + n))
+            t = term[low:high]
+            # Every posting meets each query that has its term.
+            times = self.start[t + 1] - self.start[t]
+            posting = np.repeat(np.arange(low, high), times)
+            at = np.arange(len(posting)) - np.repeat(np.cumsum(times) - times - self.start[t], times)
+            cell = self.query[at] * n + (doc[posting] - first)
+            sums = np.bincount(cell, weights=self.weight[at] * gain[posting], minlength=n_queries * n)
+            yield pos[first : first + n], sums.reshape(n_queries, n)
 
 
 @dataclass(frozen=True)
 class LexicalIndex:
-    """Postings by document, term table and collection numbers.
+    """Postings, term table and collection numbers; packed holds a row per document.
 
-    by_document says that Spark already knows the postings to be hashed by pos
-    (a bucketed table), so that scoring needs no shuffle for them.
+    Without packed rows (a saved index) the postings are a bucketed table, which
+    Spark knows to be hashed by pos, so that scoring needs no shuffle for them.
     """
 
     entries: DataFrame
     terms: DataFrame
     stats: CorpusStats
-    by_document: bool = False
+    packed: DataFrame | None = None
 
     @classmethod
     def build(cls, docs: DataFrame) -> "LexicalIndex":
@@ -111,9 +184,9 @@ class LexicalIndex:
 
         docs: pos BIGINT dense from 0, title, body.
         """
-        entries = postings(packed_documents(docs))
-        terms = settle_table(term_table(entries))
-        return cls(entries, terms, corpus_stats(terms, document_count(docs)))
+        packed = packed_documents(docs)
+        terms = settle_table(term_table(packed))
+        return cls(postings(packed), terms, corpus_stats(terms), packed)
 
     def query_terms(self, batch: QueryBatch) -> DataFrame:
         """(query_id, term, weight): idf times the token's count in the query.
@@ -126,21 +199,16 @@ class LexicalIndex:
             .select("query_id", F.col("t.term").alias("term"), F.col("t.tf").alias("qtf"))
         )
         idf = with_idf(self.terms, self.stats).select("term", "idf").where(F.col("idf") != 0)
-        return idf.join(small_side(words, batch.rows, BROADCAST_ROWS // 100), "term").select(
+        return idf.join(small_side(words, batch.words), "term").select(
             "query_id", "term", (F.col("idf") * F.col("qtf")).alias("weight")
         )
 
     def scores(self, batch: QueryBatch) -> DataFrame:
         """(query_id, pos, score) of every document that shares a term with the query."""
-        weights = settle_table(self.query_terms(batch))
-        n = weights.count()
-        n = n if n <= BROADCAST_ROWS else None
-        wanted = weights.select("term").distinct()
-        if n is not None:
-            matched = self.entries.join(F.broadcast(wanted), "term", "left_semi")
-        else:
-            matched = self.entries.join(wanted, "term", "left_semi")
-        if not self.by_document:
+        weights, n = self.query_terms(batch), batch.words
+        wanted = small_side(weights.select("term").distinct(), n)
+        matched = self.entries.join(wanted, "term", "left_semi")
+        if self.packed is not None:
             matched = matched.repartition("pos")
         k1, b = fv.BM25_K1, fv.BM25_B
         rest = k1 * (1 - b + b * F.col("length") / F.lit(self.stats.mean_length or 1.0))
@@ -159,15 +227,60 @@ class LexicalIndex:
         """
         batch = queries if isinstance(queries, QueryBatch) else QueryBatch.of(queries)
         order = [F.round("score", SCORE_DIGITS).desc(), F.col("pos").asc()]
-        scored = self.scores(batch)
+        in_blocks = (
+            self.packed is not None
+            and self.stats.mean_idf > 0
+            and batch.rows is not None
+            and (batch.words or BLOCK_WORDS + 1) <= BLOCK_WORDS
+            and batch.rows * batch.top_k <= BLOCK_RESULTS
+        )
+        scored = self._block_scores(batch) if in_blocks else self.scores(batch)
         best = top_per_group(scored, ["query_id"], order, batch.top_k).drop("rank")
+        # One exchange by query serves the merge and the final ranks.
         filled = (
             best.unionByName(self._zero_rows(batch, scored))
+            .repartition("query_id")
             .groupBy("query_id", "pos")
             .agg(F.sum("score").alias("score"))
         )
         return batch.cut(top_per_group(filled, ["query_id"], order, batch.top_k))
 
+    def _block_scores(self, batch: QueryBatch) -> DataFrame:
+        """(query_id, pos, score): each task's best top_k documents of every query.
+
+        The weights of the whole batch are collected, which the caller has
+        checked to be few.
+        """
+        rows = self.query_terms(batch).orderBy("term", "query_id").toArrow()
+        queries = pc.unique(rows.column("query_id"))
+        vocabulary = pc.unique(rows.column("term"))
+        term_no = pc.index_in(rows.column("term"), value_set=vocabulary).to_numpy()
+        weights = TermWeights(
+            vocabulary,
+            np.searchsorted(term_no, np.arange(len(vocabulary) + 1)),
+            pc.index_in(rows.column("query_id"), value_set=queries).to_numpy().astype(np.int64),
+            rows.column("weight").to_numpy(),
+        )
+        shared = self.terms.sparkSession.sparkContext.broadcast((queries, *weights.parts()))
+        k, mean_length = batch.top_k, self.stats.mean_length
+        step = max(1, BLOCK_CELLS // max(len(queries), len(rows), 1))
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, *parts = shared.value
+            known, best = TermWeights(*parts), Best(k)
+            if k == 0 or len(ids) == 0:
+                return
+            for part in batches:
+                for pos, cells in known.blocks(part, len(ids), step, mean_length):
+                    best.add(np.arange(len(ids)), pos, np.round(cells, SCORE_DIGITS), above=0.0)
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(best.query)), pa.array(best.pos), pa.array(best.score)],
+                ["query_id", "pos", "score"],
+            )
+
+        kind = batch.df.schema["query_id"].dataType.simpleString()
+        return self.packed.mapInArrow(scan, f"query_id {kind}, pos bigint, score double")
+
     def _zero_rows(self, batch: QueryBatch, scored: DataFrame) -> DataFrame:
         """Zero-score candidates: enough low positions to fill any list.
 
@@ -220,9 +333,8 @@ def save_index(docs: DataFrame, path: str, buckets: int = 8, body_limit: int | N
         .mode("overwrite")
         .saveAsTable(table)
     )
-    entries = spark.table(table)
-    term_table(entries).write.mode("overwrite").parquet(f"{path}/terms")
-    stats = corpus_stats(spark.read.parquet(f"{path}/terms"), document_count(docs))
+    term_table(packed_documents(docs)).write.mode("overwrite").parquet(f"{path}/terms")
+    stats = corpus_stats(spark.read.parquet(f"{path}/terms"))
     manifest = {**asdict(stats), "buckets": buckets, "format": 1, "body_limit": body_limit or 0,
                 "fields": "title,body"}
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode(
@@ -260,7 +372,6 @@ def load_index(
         spark.table(table),
         spark.read.parquet(f"{path}/terms"),
         stats,
-        by_document=True,
     )
 
 

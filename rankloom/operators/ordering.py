@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
+from ..functions.text import tokens
 from ..session import settle_table
 
 # Rows a broadcast side may have; narrow rows only (ids, terms, weights).
@@ -156,11 +157,17 @@ def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_
 
 @dataclass(frozen=True)
 class QueryBatch:
-    """A table of queries with its counted size."""
+    """A table of queries with its counted size.
+
+    rows and words (text tokens) are None beyond the broadcast limit; top_k is
+    the largest any query asks for, and uniform tells that all ask for the same.
+    """
 
     df: DataFrame
     rows: int | None
     top_k: int
+    words: int | None = None
+    uniform: bool = False
 
     @classmethod
     def of(cls, queries: DataFrame, default_k: int = 10) -> "QueryBatch":
@@ -168,10 +175,17 @@ class QueryBatch:
         if "top_k" not in queries.columns:
             queries = queries.withColumn("top_k", F.lit(default_k))
         queries = queries.withColumn("top_k", F.greatest(F.col("top_k").cast("int"), F.lit(0)))
-        n, k = queries.agg(F.count("*"), F.max("top_k")).first()
-        return cls(queries, n if n <= BROADCAST_ROWS else None, k or 0)
+        words = F.size(tokens("text")) if "text" in queries.columns else F.lit(0)
+        row = queries.agg(
+            F.count("*").alias("n"), F.max("top_k").alias("high"), F.min("top_k").alias("low"),
+            F.coalesce(F.sum(words), F.lit(0)).alias("words"),
+        ).first()
+        within = [x if x <= BROADCAST_ROWS else None for x in (row.n, row.words)]
+        return cls(queries, within[0], row.high or 0, within[1], row.low == row.high)
 
     def cut(self, ranked: DataFrame, rank: str = "rank") -> DataFrame:
         """Apply each query's own top_k to rows ranked up to the batch's top_k."""
+        if self.uniform:
+            return ranked
         limits = small_side(self.df.select("query_id", "top_k"), self.rows)
         return ranked.join(limits, "query_id").where(F.col(rank) <= F.col("top_k")).drop("top_k")

@@ -92,7 +92,8 @@ def hybrid_by_size(
 
     The sources are searched once at the largest size; a smaller list is its head.
     """
-    wide = QueryBatch(batch.df.withColumn("top_k", F.lit(max(sizes))), batch.rows, max(sizes))
+    queries = batch.df.withColumn("top_k", F.lit(max(sizes)))
+    wide = replace(batch, df=queries, top_k=max(sizes), uniform=True)
 
     def heads(ranking: DataFrame) -> DataFrame:
         size = F.explode(F.array(*[F.lit(n) for n in sizes]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ def dense_retriever(
     def run(batch: QueryBatch) -> DataFrame:
         if encode is not None:
             rows = encode(encoder_queries(batch.df, encoder_name))
-            batch = QueryBatch(rows, batch.rows, batch.top_k)
+            batch = replace(batch, df=rows)
         return dense.search(vectors, batch, dim=dim, metric=metric)
 
     return run

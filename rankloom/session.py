@@ -19,19 +19,29 @@ def local_session(cpus: str | int = "*", partitions: int = 8, memory: str = "8g"
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Building a plan costs several times more with stack traces per column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
 
-def spread(scan: DataFrame) -> DataFrame:
+_PIECES: dict[tuple[str, str], int] = {}
+
+
+def spread(scan: DataFrame, path: str) -> DataFrame:
     """Use all cores where a scan has fewer pieces than there are cores.
 
     One file with one row group is one task however large it is. Tables that
     come in enough pieces, as any large one does, are left alone. Call it on a
-    plain scan: projections and filters still move below the repartition.
+    plain scan: projections and filters still move below the repartition. The
+    number of pieces is looked up once per application and path.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() < 3 * cores else scan
+    context = scan.sparkSession.sparkContext
+    key = (context.applicationId, path)
+    if key not in _PIECES:
+        _PIECES[key] = scan.rdd.getNumPartitions()
+    cores = context.defaultParallelism
+    return scan.repartition(cores) if 2 * _PIECES[key] < 3 * cores else scan
 
 
 def shared_dir(spark: SparkSession) -> str:

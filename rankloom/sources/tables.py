@@ -11,11 +11,21 @@ from ..session import spread
 
 # Tables whose rows are costly to work on: long texts and vectors.
 HEAVY = ("documents", "pages", "conversations", "embeddings")
+# Declared schemas spare the job that would infer them.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows) if name in HEAVY else rows
+    path = f"{sf_dir}/{name}.parquet"
+    rows = spark.read.schema(SCHEMAS[name]).parquet(path)
+    return spread(rows, path) if name in HEAVY else rows
 
 
 def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,23 +97,17 @@ def passage_queries(spark: SparkSession, sf_dir: str, top_k: int = 10) -> DataFr
     )
 
 
-def label_queries(vecs: DataFrame, top_k: int = 10) -> DataFrame:
+def label_queries(vecs: DataFrame, top_k: int = 10, dim: int = 64) -> DataFrame:
     """One query per label: the mean of all vectors that carry it.
 
-    Means are taken per (label, dimension), so a label that holds a third of the
-    vectors costs one partial sum per task. Rounding makes the mean independent
-    of the order of summation.
+    Sums are combined before the shuffle, so a label that holds a third of the
+    vectors costs one row per task. Rounding makes the mean independent of the
+    order of summation.
     """
-    means = (
-        vecs.select("label", F.posexplode("embedding").alias("i", "x"))
-        .groupBy("label", "i")
-        .agg(F.round(F.avg(F.col("x").cast("double")), 6).cast("float").alias("x"))
-    )
-    return means.groupBy("label").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias(
-            "embedding"
-        )
-    ).select(F.col("label").cast("long").alias("query_id"), "embedding", F.lit(top_k).alias("top_k"))
+    mean = "cast(round(avg(cast(get(embedding, {i}) as double)), 6) as float)"
+    means = ", ".join(mean.format(i=i) for i in range(dim))
+    rows = vecs.groupBy("label").agg(F.expr(f"array({means})").alias("embedding"))
+    return rows.select(F.col("label").cast("long").alias("query_id"), "embedding", F.lit(top_k).alias("top_k"))
 
 
 def text_vector_queries(spark: SparkSession, sf_dir: str, top_k: int = 10) -> DataFrame:

@@ -18,7 +18,6 @@ from ..operators.lexical import (
     load_index,
     open_or_build,
     packed_documents,
-    postings,
     save_index,
     term_table,
     with_idf,
@@ -46,8 +45,8 @@ def scored(rows):
 )
 def term_idf(spark, sf_dir):
     docs = tb.search_docs(spark, sf_dir)
-    terms = settle_table(term_table(postings(packed_documents(docs))))
-    stats = corpus_stats(terms, docs.count())
+    terms = settle_table(term_table(packed_documents(docs)))
+    stats = corpus_stats(terms)
     return with_idf(terms, stats).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -59,8 +58,7 @@ def term_idf(spark, sf_dir):
 )
 def collection_stats(spark, sf_dir):
     docs = tb.search_docs(spark, sf_dir)
-    terms = term_table(postings(packed_documents(docs)))
-    s = corpus_stats(terms, docs.count())
+    s = corpus_stats(settle_table(term_table(packed_documents(docs))))
     return spark.range(1).select(
         F.lit(s.documents).cast("long").alias("documents"),
         F.lit(s.tokens).cast("long").alias("tokens"),
@@ -81,10 +79,10 @@ def query_term_postings(spark, sf_dir):
     batch = QueryBatch.of(passages)
     words = passages.select("query_id", F.explode(tx.term_counts(tx.tokens("text"))).alias("t"))
     words = words.select("query_id", F.col("t.term").alias("term"), F.col("t.tf").alias("qtf"))
-    hint = F.broadcast(words) if batch.rows is not None and batch.rows <= 10_000 else words
+    hint = F.broadcast(words) if batch.words is not None else words
     # Postings are combined per term before they meet the queries.
     return (
-        term_table(postings(packed_documents(docs)))
+        term_table(packed_documents(docs))
         .join(hint, "term")
         .select(
             "query_id", "term", "qtf",

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from rankloom.operators import lexical
 from rankloom.operators.lexical import LexicalIndex, load_index, open_or_build, save_index
 from rankloom.operators.ordering import QueryBatch
 
@@ -40,6 +41,15 @@ def queries(spark, texts, k):
     return spark.createDataFrame(rows, "query_id bigint, text string, top_k int")
 
 
+@pytest.fixture(params=["blocks", "small blocks", "joins"])
+def way(request, monkeypatch):
+    """Both ways to the scores, the first one also with blocks of few documents."""
+    if request.param == "joins":
+        monkeypatch.setattr(lexical, "BLOCK_WORDS", 0)
+    if request.param == "small blocks":
+        monkeypatch.setattr(lexical, "BLOCK_CELLS", 30)
+
+
 def check(spark, texts, asked, k):
     found = LexicalIndex.build(documents(spark, texts)).search(queries(spark, asked, k)).collect()
     for i, query in enumerate(asked):
@@ -50,12 +60,12 @@ def check(spark, texts, asked, k):
         assert [g[0] for g in got] == list(range(1, len(want) + 1))
 
 
-def test_ranks_and_zero_fill(spark):
+def test_ranks_and_zero_fill(spark, way):
     texts = ["football video analysis", "text generation", "image segmentation"]
     check(spark, texts, ["football", "unknown", "", "text text image"], 2)
 
 
-def test_common_terms_are_floored(spark):
+def test_common_terms_are_floored(spark, way):
     words = [f"w{i}" for i in range(30)]
     rng = random.Random(1)
     texts = ["the " + " ".join(rng.choices(words, k=8)) for _ in range(40)] + ["", "the"]
@@ -70,7 +80,7 @@ def test_negative_mean_idf(spark):
     check(spark, ["a b"] * 9 + ["", "a", ""], ["a", "b", "a b", "zzz"], 8)
 
 
-def test_hot_term_and_equal_documents(spark):
+def test_hot_term_and_equal_documents(spark, way):
     """A third of the documents are one text; another term is in nearly all of them."""
     rng = random.Random(3)
     words = [f"w{i}" for i in range(200)]
@@ -79,7 +89,7 @@ def test_hot_term_and_equal_documents(spark):
     check(spark, texts, ["copied text", "common", "w1 w2 common"], 20)
 
 
-def test_top_k_zero_and_empty_collection(spark):
+def test_top_k_zero_and_empty_collection(spark, way):
     index = LexicalIndex.build(documents(spark, ["a", "b"]))
     assert index.search(queries(spark, ["a"], 0)).count() == 0
     empty = documents(spark, ["x"]).where("pos < 0")
@@ -115,7 +125,8 @@ def test_saved_index_scores_without_shuffling_postings(spark, tmp_path):
     assert not any("pos" in line for line in exchanges), plan
 
 
-def test_plan_cuts_before_the_shuffle(spark, sf_dir):
+def test_plan_cuts_before_the_shuffle(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(lexical, "BLOCK_WORDS", 0)
     from rankloom.sources import tables as tb
 
     index = LexicalIndex.build(tb.search_docs(spark, sf_dir))
