@@ -52,9 +52,10 @@ def block_scores(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.nd
 
 
 class Best:
-    """The k best (query, pos, score) seen so far; ties go to the lower pos.
+    """The k best (query, pos, score) seen so far, compared to nine digits.
 
-    repeats says that the same pair may be offered more than once.
+    Ties go to the lower pos; repeats says that the same pair may be
+    offered more than once.
     """
 
     def __init__(self, k: int, repeats: bool = False):
@@ -69,7 +70,8 @@ class Best:
         """Offer a block of scores (queries x vectors); only those above a bound count."""
         wanted = scores > above
         if scores.shape[1] > self.k:
-            wanted &= scores >= np.partition(scores, -self.k, axis=1)[:, [-self.k]]
+            rounded = np.round(scores, SCORE_DIGITS)
+            wanted &= rounded >= np.partition(rounded, -self.k, axis=1)[:, [-self.k]]
         rows, cols = np.nonzero(wanted)
         self._keep(query_rows[rows], pos[cols], scores[rows, cols])
 
@@ -80,7 +82,7 @@ class Best:
         if self.repeats:
             _, fresh = np.unique(np.stack([query, pos]), axis=1, return_index=True)
             query, pos, score = query[fresh], pos[fresh], score[fresh]
-        order = np.lexsort((pos, -score, query))
+        order = np.lexsort((pos, -np.round(score, SCORE_DIGITS), query))
         query, pos, score = query[order], pos[order], score[order]
         starts = np.searchsorted(query, query, side="left")
         kept = np.arange(len(query)) - starts < self.k

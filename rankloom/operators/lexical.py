@@ -272,7 +272,7 @@ class LexicalIndex:
                 return
             for part in batches:
                 for pos, cells in known.blocks(part, len(ids), step, mean_length):
-                    best.add(np.arange(len(ids)), pos, np.round(cells, SCORE_DIGITS), above=0.0)
+                    best.add(np.arange(len(ids)), pos, cells, above=0.0)
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(best.query)), pa.array(best.pos), pa.array(best.score)],
                 ["query_id", "pos", "score"],
