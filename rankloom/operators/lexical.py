@@ -30,7 +30,7 @@ from ..session import settle_table
 from .dense import Best
 from .ordering import QueryBatch, join_small, small_side, top_per_group
 
-SCORE_DIGITS = 9
+SCORE_DIGITS, MEAN_DIGITS = 9, 10
 # Bounds of the broadcast way: query tokens, result rows a task holds, and cells
 # of a block.
 BLOCK_WORDS, BLOCK_RESULTS, BLOCK_CELLS = 2_000_000, 2_000_000, 4_000_000
@@ -110,7 +110,9 @@ def corpus_stats(terms: DataFrame) -> CorpusStats:
         F.count("*").alias("vocabulary"),
         F.avg(raw_idf(F.col("df"), row.n)).alias("mean_idf"),
     ).first()
-    return CorpusStats(row.n, sums.tokens or 0, sums.vocabulary, sums.mean_idf or 0.0)
+    # Rounded, so that a rebuild with another order of summation scores the same.
+    mean_idf = round(sums.mean_idf or 0.0, MEAN_DIGITS)
+    return CorpusStats(row.n, sums.tokens or 0, sums.vocabulary, mean_idf)
 
 
 def raw_idf(df: Column, documents: Column | int) -> Column:

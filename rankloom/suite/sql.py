@@ -151,7 +151,7 @@ st AS (SELECT count(*) AS n, avg(length) AS avgdl FROM ln),
 p AS (SELECT pos, term, count(*) AS tf FROM (SELECT pos, unnest(w) AS term FROM w) GROUP BY ALL),
 tm AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS raw
        FROM (SELECT term, count(*) AS df FROM p GROUP BY term), st),
-mi AS (SELECT avg(raw) AS mean FROM tm),
+mi AS (SELECT round(avg(raw), 10) AS mean FROM tm),
 idf AS (SELECT term, CASE WHEN raw < 0 THEN {fv.BM25_EPSILON} * mean ELSE raw END AS idf FROM tm, mi),
 qt AS (SELECT query_id, term, count(*) AS qtf
        FROM (SELECT query_id, unnest({tokens("text")}) AS term FROM q) GROUP BY ALL),
