@@ -98,9 +98,11 @@ def cosine_distribution(pairs: DataFrame) -> DataFrame:
 
 def fit_kmeans(sample: DataFrame, k: int = 12, seed: int = fv.SEED) -> DataFrame:
     """Sample with `cluster`; k is cut to the number of rows."""
+    if sample.limit(2).count() < 2 or k < 2:
+        return sample.withColumn("cluster", F.lit(0))
     points = sample.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
     points = points.persist()
-    model = KMeans(k=max(2, min(k, points.count())), seed=seed).fit(points)
+    model = KMeans(k=min(k, points.count()), seed=seed).fit(points)
     return model.transform(points).withColumnRenamed("prediction", "cluster").drop("features")
 
 
