@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, licenses, shards
+from . import chat, language, licenses, mixing, pieces, quality, shards, toxicity
 from .common import held_out, table
 
+#: A model file of the environment; the operators take any path.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -58,3 +61,36 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.assess(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return out.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("passages").cast("long").alias("n_passages")
+    )
+
+
+@query
+def op8_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents")).drop("words_lost")
+
+
+@query
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id", "text"])
+    back = pieces.decode(coded, TOKENIZER, into="decoded")
+    return back.select(
+        "doc_id",
+        F.size("input_ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("input_ids", " "), 256).alias("pieces_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("restored"),
+    )
+
+
+@query
+def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return out.select("doc_id", "source", "source_block", "mix_slot", "mix_position")

@@ -32,8 +32,8 @@ def rendezvous(key: Column, weights: Mapping[int, float]) -> Column:
     return F.array_min(F.array(*times))["shard"]
 
 
-def number(rows: DataFrame, group: str, order: list[Column], total: int, rows_per_range: int = 16384) -> DataFrame:
-    """Adds `slot`: 0, 1, ... within each group, by a hash of the order columns.
+def number(rows: DataFrame, group: str, order: list[Column], total: int, into: str = "slot", rows_per_range: int = 16384) -> DataFrame:
+    """Adds `into`: 0, 1, ... within each group, by a hash of the order columns.
 
     A group is numbered in ranges of a hash, each by a task of its own, and a
     range starts where the counts of the ranges before it end, so no group
@@ -52,7 +52,7 @@ def number(rows: DataFrame, group: str, order: list[Column], total: int, rows_pe
     numbered = rows.withColumn("_row", F.row_number().over(within))
     return (
         numbered.join(starts, [group, "_range"])
-        .withColumn("slot", (F.col("_start") + F.col("_row") - 1).cast("long"))
+        .withColumn(into, (F.col("_start") + F.col("_row") - 1).cast("long"))
         .drop("_place", "_range", "_start", "_row")
     )
 
