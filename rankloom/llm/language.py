@@ -193,8 +193,10 @@ def temperature(held: list[tuple[np.ndarray, int]]) -> float:
     return float(min(np.geomspace(0.25, 8.0, 41), key=loss))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds lang_pred and score (0 to 1). A null text or one without a letter: `und`, 0.
+def identify(
+    docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, into: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """Adds the predicted language and its score (0 to 1). A null text or one without a letter: `und`, 0.
 
     Rows, their order and other columns stay; columns of the new names are replaced.
     """
@@ -203,4 +205,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     def start():
         return Model(*held.value).scores
 
-    return annotate(docs, [text], "lang_pred string, score double", start, keep=keep)
+    return annotate(docs, [text], f"`{into[0]}` string, `{into[1]}` double", start, keep=keep)

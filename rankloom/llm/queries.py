@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, licenses, mixing, pieces, quality, shards, toxicity
+from . import chat, jaccard, language, licenses, mixing, neardup, pieces, quality, shards, toxicity
 from .common import held_out, table
 
 #: A model file of the environment; the operators take any path.
@@ -94,3 +94,13 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return out.select("doc_id", "source", "source_block", "mix_slot", "mix_position")
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "embeddings"))
