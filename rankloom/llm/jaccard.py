@@ -15,6 +15,10 @@ Equal sets are one class from the start. Candidates come in two rounds: first
 each class is compared with the class at the head of most of its lists; then,
 within lists, the classes that are not yet in one component are compared with
 each other. Only the second round pairs freely, and only what the first left apart.
+
+Before whole sets are sent, pairs are tested on parity sketches, a bit an
+element or more: bits that differ are no more than elements that do, so no
+pair that links is lost.
 """
 
 from __future__ import annotations
@@ -74,6 +78,27 @@ def set_class(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), seed=len(found)) - (1 << 63)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Parities of the elements by hash, on a power of two of bits, 64 at least and as many as elements."""
+    bits = max(6, (len(found) - 1).bit_length())
+    odd = np.bincount((found >> np.uint64(8)).astype(np.int64) & (1 << bits) - 1, minlength=1 << bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(n: int, x: bytes, m: int, y: bytes) -> bool:
+    """Whether sizes and sketches leave the similarity possible."""
+    if 100 * min(n, m) < PERCENT * max(n, m):
+        return False
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    size = min(len(a), len(b))
+    # A longer sketch folds to a shorter one, as parities add up.
+    a, b = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (a, b))
+    differ = int(np.bitwise_count(a ^ b).sum())
+    # shared <= (n + m - differ) / 2 must reach the percentage of the union.
+    shared = (n + m - differ) // 2
+    return 100 * shared >= PERCENT * (n + m - shared)
+
+
 def needed(n: int) -> int:
     """Shared elements at least, of a set of n."""
     return -(-PERCENT * n // 100)
@@ -139,38 +164,39 @@ def _chunks(table: np.ndarray) -> dict[int, np.ndarray]:
 
 
 def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, n, set: per document; and, with a chunk number, the task's shingle counts."""
+    """key, n, set, sketch: per document; and, with a chunk number, the task's shingle counts."""
     fields = docs.select(key).schema[0]
-    ddl = f"`{key}` {fields.dataType.simpleString()}, n int, `set` long, chunk int, data binary"
+    ddl = f"`{key}` {fields.dataType.simpleString()}, n int, `set` long, sketch binary, chunk int, data binary"
 
     def run(batches):
         known, counts = Hashes(), np.zeros(1 << COUNT_BITS, np.uint32)
-        names = [key, "n", "set", "chunk", "data"]
+        names = [key, "n", "set", "sketch", "chunk", "data"]
         key_type = None
         for batch in batches:
             key_type = batch.schema.field(0).type
             for piece in pieces(batch):
-                sizes, classes = [], []
+                sizes, classes, marks = [], [], []
                 for value in values(piece.column(1)):
                     found = shingles(value, known)
                     sizes.append(len(found))
                     classes.append(set_class(found) if len(found) else None)
+                    marks.append(sketch(found) if len(found) else None)
                     np.add.at(counts, found >> np.uint64(64 - COUNT_BITS), 1)
                 none = piece.num_rows
-                arrays = [piece.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64())]
+                arrays = [piece.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(marks, pa.binary())]
                 arrays += [pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
         if key_type is not None:
             part = _chunk_batch(_chunks(counts))
             rows = part.num_rows
-            arrays = [pa.nulls(rows, key_type), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()), *part.columns]
+            arrays = [pa.nulls(rows, key_type), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), *part.columns]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return docs.select(key, text).mapInArrow(run, ddl)
 
 
 def _with_signatures(docs: DataFrame, text: str, counts: np.ndarray, boundary: int) -> DataFrame:
-    """set, n, signatures of each class once."""
+    """set, signatures, per document."""
     held = docs.sparkSession.sparkContext.broadcast(counts)
 
     def start():
@@ -178,13 +204,11 @@ def _with_signatures(docs: DataFrame, text: str, counts: np.ndarray, boundary: i
 
         def work(texts):
             sets = [shingles(t, known) for t in texts]
-            found = [signatures(s, table, boundary) for s in sets]
-            return [set_class(s) if len(s) else None for s in sets], [len(s) for s in sets], found
+            return [set_class(s) if len(s) else None for s in sets], [signatures(s, table, boundary) for s in sets]
 
         return work
 
-    rows = annotate(docs.select(text), [text], "`set` long, n int, signatures array<long>", start, keep=[])
-    return rows.where(F.col("set").isNotNull() & (F.size("signatures") > 0)).dropDuplicates(["set"])
+    return annotate(docs.select(text), [text], "`set` long, signatures array<long>", start, keep=[])
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -221,12 +245,28 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         return work
 
     rows = annotate(docs.select(text), [text], "`set` long, elements array<long>", start, keep=[])
-    rows = rows.where(F.col("set").isNotNull()).dropDuplicates(["set"])
-    return rows.join(wanted.select("set").distinct(), "set", "left_semi")
+    return rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.any_value("elements").alias("elements"))
+
 
+def _possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) that sizes and sketches leave possible."""
+    of = lambda c: sketches.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b").where(similar("n_a", "n_b"))
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that have the similarity, counted on whole sets."""
+    def start():
+        return lambda *columns: [list(map(may_link, *columns))]
+
+    tested = annotate(both, ["n_a", "s_a", "n_b", "s_b"], "possible boolean", start, keep=pairs.columns)
+    return tested.where("possible").drop("possible")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The pairs (a, b) of classes that have the similarity, counted on whole sets.
+
+    Both joins read one exchange of the sets.
+    """
+    pairs = settle_table(pairs.select("a", "b"))
+    sets = _sets(docs, text, pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))))
     shared = F.size(F.array_intersect("x", "y"))
     return (
         pairs.join(sets.select(F.col("set").alias("b"), F.col("elements").alias("y")), "b")
@@ -251,32 +291,33 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     told = settle_table(_survey(docs, key, text))
     rows = told.where("chunk is null").select(key, "n", "set")
+    sketches = told.where("chunk is null and n > 0").groupBy("set").agg(F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
     counts = combined(told.where("chunk is not null"), "u4", 4 << COUNT_BITS)
     sizes = dict(rows.where("n between 1 and 600").groupBy("n").count().collect())
     boundary = boundary_of({int(n): k for n, k in sizes.items()})
-    spread = _with_signatures(docs, text, counts, boundary).select("set", "n", F.explode("signatures").alias("sig"))
+    spread = _with_signatures(docs, text, counts, boundary).select("set", F.explode("signatures").alias("sig"))
     by_list = Window.partitionBy("sig").orderBy("set")
     lists = spread.select(
-        "sig", "set", "n",
+        "sig", "set",
         F.first("set").over(by_list.rowsBetween(Window.unboundedPreceding, 0)).alias("head"),
-        F.first("n").over(by_list.rowsBetween(Window.unboundedPreceding, 0)).alias("head_n"),
-        F.lead("set").over(by_list).alias("next"),
+        F.lag("set").over(by_list).alias("last"),
     )
-    lists = settle_table(lists.where("head != set or next is not null").drop("next"))
-    sets = settle_table(_sets(docs, text, lists))
-    heads = lists.where("head != set").where(similar("n", "head_n")).groupBy("set", "head").agg(F.count("*").alias("k"))
-    best = heads.groupBy("set").agg(F.max_by("head", F.struct("k", "head")).alias("a"))
-    first = settle_table(_linked(best.select("a", F.col("set").alias("b")), sets))
+    # Members behind the head, copies of a class once.
+    lists = settle_table(lists.where("head != set and last != set").drop("last"))
+    heads = lists.select(F.col("head").alias("a"), F.col("set").alias("b")).groupBy("a", "b").agg(F.count("*").alias("k"))
+    heads = _possible(heads, sketches).groupBy("b").agg(F.max_by("a", F.struct("k", "a")).alias("a"))
+    first = settle_table(_linked(heads, docs, text))
     found = components(first)
     # What the first round left apart, list by list.
-    placed = lists.select("sig", "set", "n").join(found.withColumnRenamed("id", "set"), "set", "left")
+    members = lists.select("sig", "set").unionByName(lists.select("sig", F.col("head").alias("set")).distinct())
+    placed = members.join(found.withColumnRenamed("id", "set"), "set", "left")
     placed = placed.withColumn("component", F.coalesce("component", "set"))
     mixed_lists = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     open_lists = settle_table(placed.join(mixed_lists.select("sig"), "sig", "left_semi"))
     a, b = open_lists.alias("a"), open_lists.alias("b")
-    pairs = a.join(b, F.expr(f"a.sig = b.sig and a.component < b.component and {similar('a.n', 'b.n')}"))
+    pairs = a.join(b, F.expr("a.sig = b.sig and a.component < b.component"))
     pairs = pairs.select(F.least("a.set", "b.set").alias("a"), F.greatest("a.set", "b.set").alias("b")).distinct()
-    second = _linked(pairs, sets)
+    second = _linked(_possible(pairs, sketches), docs, text)
     found = components(first.unionByName(second))
     out = rows.join(found.withColumnRenamed("id", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     out = settle_table(out)

@@ -43,6 +43,15 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
+def units_of(raw: list[bytes], dtype: str, dim: int = -1) -> np.ndarray:
+    """Unit vectors in double precision from their numbers as bytes."""
+    x = np.frombuffer(b"".join(raw), dtype).astype(np.float64).reshape(len(raw), dim if not raw else -1)
+    if len(x):
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    return x
+
+
 def codebook(points: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     """Lloyd's centroids, started from evenly spaced points of the sample."""
     centres = points[np.linspace(0, len(points) - 1, k).astype(int)].copy()
@@ -90,39 +99,52 @@ def visited(first: np.ndarray, second: np.ndarray, within: float) -> list[tuple[
 
 
 def forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of a symmetric matrix of links."""
-    left, out = np.ones(len(linked), bool), []
-    for root in range(len(linked)):
-        if not left[root]:
+    """Edges of a spanning forest of the links between rows and columns, as (row, column)."""
+    rows_left, cols_left, out = linked.any(axis=1), linked.any(axis=0), []
+    for root in np.nonzero(rows_left)[0].tolist():
+        if not rows_left[root]:
             continue
-        left[root] = False
-        front = [root]
+        rows_left[root] = False
+        front = [(root, True)]
         while front:
-            at = front.pop()
-            for new in np.nonzero(linked[at] & left)[0].tolist():
-                left[new] = False
-                out.append((at, new))
-                front.append(new)
+            at, is_row = front.pop()
+            if is_row:
+                new = np.nonzero(linked[at] & cols_left)[0].tolist()
+                cols_left[new] = False
+                out += [(at, c) for c in new]
+                front += [(c, False) for c in new]
+            else:
+                new = np.nonzero(linked[:, at] & rows_left)[0].tolist()
+                rows_left[new] = False
+                out += [(r, at) for r in new]
+                front += [(r, True) for r in new]
     return out
 
 
-def _compare(threshold: float):
+TARGET, OWN, GUEST = 0, 1, 2
+
+
+def _compare(threshold: float, dtype: str):
+    """Links of one block of a cell's vectors (targets) with one block of its visitors (probes).
+
+    The cell's own vectors visit it as well; such pairs are met from both sides.
+    """
+
     def work(table: pa.Table) -> pa.Table:
-        ids = table.column("class").to_numpy()
-        times = table.column("times").to_numpy()
-        home = table.column("home").to_numpy()
-        side = table.column("side").to_numpy()
-        x = np.stack([np.frombuffer(v, np.float64) for v in table.column("unit").to_pylist()])
-        linked = x @ x.T >= threshold
-        linked &= home[:, None] | home[None, :]
-        if (table.column("i")[0].as_py()) != (table.column("j")[0].as_py()):
-            linked &= side[:, None] != side[None, :]
-        np.fill_diagonal(linked, False)
-        links = linked @ times
+        ids, times = table.column("class").to_numpy(), table.column("times").to_numpy()
+        role = table.column("role").to_numpy()
+        x = units_of(table.column("raw").to_pylist(), dtype)
+        target, probe = np.nonzero(role == TARGET)[0], np.nonzero(role != TARGET)[0]
+        linked = x[probe] @ x[target].T >= threshold
+        linked &= ids[probe][:, None] != ids[target][None, :]
+        links = np.zeros(len(ids), np.int64)
+        links[probe] = linked @ times[target]
+        guests = role[probe] == GUEST
+        links[target] = times[probe][guests] @ linked[guests]
         some = np.nonzero(links)[0]
         edges = forest(linked)
-        a = np.concatenate([ids[some], ids[[e[0] for e in edges]]]) if edges else ids[some]
-        other = pa.array([None] * len(some) + [int(ids[e[1]]) for e in edges], pa.int64())
+        a = np.concatenate([ids[some], ids[probe[[e[0] for e in edges]]]]) if edges else ids[some]
+        other = pa.array([None] * len(some) + [int(ids[target[e[1]]]) for e in edges], pa.int64())
         counts = pa.array(links[some].tolist() + [0] * len(edges), pa.int64())
         return pa.table({"class": pa.array(a, pa.int64()), "links": counts, "other": other})
 
@@ -130,8 +152,8 @@ def _compare(threshold: float):
 
 
 def link(
-    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, target_recall: float = 0.999,
-    sample_rows: int = 20_000, cell_rows: int = 64, block_rows: int = 512,
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, target_recall: float = 0.99,
+    sample_rows: int = 20_000, cell_rows: int = 512, target_rows: int = 512, probe_rows: int = 2048,
 ) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept.
 
@@ -139,8 +161,8 @@ def link(
     null or non-finite components, and those that aren't of the commonest
     length link with nothing; each is its own component. Equal vectors are one class
     and are linked. Codebooks are fitted on sample_rows classes at most, by hash; every
-    vector is in the index. A cell with many vectors is compared in blocks of
-    block_rows, in tasks of their own. A null key takes part, but names a component only
+    vector is in the index. A cell of many vectors is compared in blocks of target_rows vectors and
+    probe_rows visitors, each a group of its own. A null key takes part, but names a component only
     if all are null. Rows sharing a key are vectors of their own; kept is true for all rows whose key names their component.
     """
     rows = vectors.select(F.col(key), F.col(vector))
@@ -149,27 +171,31 @@ def link(
 
     def prepare(batches):
         for batch in batches:
-            units = matrix(batch.column(1), dim)
-            data = [None if np.isnan(u).any() or not dim else u.tobytes() for u in units]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], [key, "unit"])
+            fit = np.isfinite(matrix(batch.column(1), dim)).all(axis=1) if dim else np.zeros(batch.num_rows, bool)
+            some = batch.column(1).take(pa.array(np.nonzero(fit)[0]))
+            raw = some.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(some), dim)
+            raw = iter(raw + np.zeros(1, dtype))  # no -0
+            data = [next(raw).tobytes() if f else None for f in fit]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], [key, "raw"])
 
     key_type = rows.schema[0].dataType.simpleString()
-    units = rows.mapInArrow(prepare, f"`{key}` {key_type}, unit binary")
-    units = settle_table(units.withColumn("class", F.when(F.col("unit").isNotNull(), F.xxhash64("unit"))))
-    classes = units.where("class is not null").groupBy("class").agg(F.count("*").alias("times"), F.first("unit").alias("unit"))
+    dtype = "f4" if rows.schema[1].dataType.elementType.simpleString() == "float" else "f8"
+    units = rows.mapInArrow(prepare, f"`{key}` {key_type}, raw binary")
+    units = settle_table(units.withColumn("class", F.when(F.col("raw").isNotNull(), F.xxhash64("raw"))))
+    classes = units.where("class is not null").groupBy("class").agg(F.count("*").alias("times"), F.first("raw").alias("raw"))
     n = units.agg(F.count_distinct("class")).first()[0]
-    sample = units.where("class is not null").select("class", "unit").distinct().orderBy(F.xxhash64("class"), "class").limit(sample_rows)
-    seen = [np.frombuffer(r["unit"], np.float64) for r in sample.collect()]
+    sample = units.where("class is not null").select("class", "raw").distinct().orderBy(F.xxhash64("class"), "class").limit(sample_rows)
+    seen = units_of([r["raw"] for r in sample.collect()], dtype, dim)
     half = dim // 2
     k = max(1, min(math.ceil(math.sqrt(n / cell_rows)), len(seen) // 8, 1024))
-    points = np.stack(seen) if seen else np.zeros((1, max(dim, 2)))
+    points = seen if len(seen) else np.zeros((1, max(dim, 2)))
     books = codebook(points[:, :half], k), codebook(points[:, half:], k)
     reach = 2 - 2 * threshold
     within = reach if target_recall >= 1 else min(reach, -2 * math.log(1 - target_recall) * reach / max(1, dim))
 
     def place(batches):
         for batch in batches:
-            x = np.stack([np.frombuffer(v, np.float64) for v in batch.column(2).to_pylist()]) if batch.num_rows else np.zeros((0, dim))
+            x = units_of(batch.column(2).to_pylist(), dtype, dim)
             homes, others = [], []
             for at in range(0, len(x), 1024):
                 (near1, one), (near2, two) = bounds(x[at : at + 1024, :half], books[0]), bounds(x[at : at + 1024, half:], books[1])
@@ -180,23 +206,34 @@ def link(
                     # A pair is met once: in the cell of the larger number.
                     others.append(sorted(c for c in cells if c > home))
             arrays = [*batch.columns, pa.array(homes, pa.int64()), pa.array(others, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["class", "times", "unit", "cell", "visits"])
+            yield pa.RecordBatch.from_arrays(arrays, ["class", "times", "raw", "cell", "visits"])
 
-    placed = classes.select("class", "times", "unit").mapInArrow(
-        place, "class long, times long, unit binary, cell long, visits array<long>"
+    placed = classes.select("class", "times", "raw").mapInArrow(
+        place, "class long, times long, raw binary, cell long, visits array<long>"
     )
     placed = settle_table(placed)
-    stays = placed.select("class", "times", "unit", "cell", F.lit(True).alias("home"))
-    comes = placed.select("class", "times", "unit", F.explode("visits").alias("cell"), F.lit(False).alias("home"))
-    members = stays.unionByName(comes)
-    sizes = members.groupBy("cell").agg(F.count("*").alias("m"), F.count_if("home").alias("h")).where("h > 0 and m > 1")
-    members = members.join(sizes.select("cell", F.ceil(F.col("m") / block_rows).cast("int").alias("blocks")), "cell")
-    members = members.withColumn("side", F.expr("cast(pmod(xxhash64(class, 1), blocks) as int)"))
-    members = members.withColumn("y", F.explode(F.expr("sequence(0, blocks - 1)")))
-    members = members.select(
-        "cell", F.least("side", "y").alias("i"), F.greatest("side", "y").alias("j"), "class", "times", "unit", "home", "side"
+    own = placed.select("class", "times", "raw", "cell", F.lit(OWN).alias("role"))
+    guests = placed.select("class", "times", "raw", F.explode("visits").alias("cell"), F.lit(GUEST).alias("role"))
+    probes = own.unionByName(guests)
+    blocks = probes.groupBy("cell").agg(F.count("*").alias("m"), F.count_if(F.col("role") == OWN).alias("h"))
+    blocks = blocks.where("h > 0 and m > 1").select(
+        "cell",
+        F.ceil(F.col("h") / target_rows).cast("int").alias("t_blocks"),
+        F.ceil(F.col("m") / probe_rows).cast("int").alias("p_blocks"),
+    )
+    # A probe goes to all blocks of targets, a target to all blocks of probes.
+    split = "cast(pmod(xxhash64(class, {0}), {1}) as int)"
+    probes = probes.join(blocks, "cell").select(
+        "cell", F.expr(split.format(1, "p_blocks")).alias("p"), F.explode(F.expr("sequence(0, t_blocks - 1)")).alias("t"),
+        "class", "times", "raw", "role",
+    )
+    targets = own.join(blocks, "cell").select(
+        "cell", F.explode(F.expr("sequence(0, p_blocks - 1)")).alias("p"), F.expr(split.format(2, "t_blocks")).alias("t"),
+        "class", "times", "raw", F.lit(TARGET).alias("role"),
+    )
+    found = probes.unionByName(targets).groupBy("cell", "p", "t").applyInArrow(
+        _compare(threshold, dtype), "class long, links long, other long"
     )
-    found = members.groupBy("cell", "i", "j").applyInArrow(_compare(threshold), "class long, links long, other long")
     found = settle_table(found)
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     joined = components(found.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
