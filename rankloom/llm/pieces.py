@@ -22,7 +22,7 @@ one dropped. It gives back every text exactly; U+2581 in a text goes by bytes.
 from __future__ import annotations
 
 import re
-from array import array
+import sys
 from functools import cached_property
 
 import numpy as np
@@ -34,6 +34,8 @@ from .common import annotate
 BLANK = "▁"
 MEMO = 300_000
 INFINITE = float("inf")
+#: Characters of a word beyond which it is solved anew each time.
+LONG = 64
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}\\n]*|\\n|[^{BLANK}\\n]+")
 
 
@@ -61,13 +63,40 @@ class Vocabulary:
         return cls(pieces, bytes_)
 
 
+class Memo(dict):
+    """What was solved lately: two generations, so that frequent words outlive the others."""
+
+    def __init__(self, solve, size: int = MEMO):
+        super().__init__()
+        self.solve, self.size, self.old = solve, size, {}
+
+    def __missing__(self, word):
+        found = self.old.get(word)
+        if found is None:
+            found = self.solve(word)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Transducer:
     def __init__(self, vocabulary: Vocabulary):
+        import ahocorasick
+
         self.vocabulary = vocabulary
-        self.longest = max(map(len, vocabulary.pieces), default=1)
+        #: All pieces that end at a place of a text, found in one pass.
+        self.automaton = ahocorasick.Automaton()
+        for piece in vocabulary.pieces:
+            self.automaton.add_word(piece, (piece, len(piece)))
+        self.automaton.make_automaton()
+        number = lambda i: i.to_bytes(4, sys.byteorder)
+        self.numbers = {p: number(i) for p, (i, _) in vocabulary.pieces.items()}
+        self.byte_numbers = [number(vocabulary.bytes[b]) for b in range(256)]
         self.weights: dict[tuple[str, str], float] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Memo(lambda word: self.solve(BLANK + word))
+        self.chunks = Memo(self.solve, MEMO // 4)
 
     def merged(self, text: str) -> list[str]:
         """What merging leaves of a short text: the best-scored neighbours first, the left pair of equals."""
@@ -93,57 +122,57 @@ class Transducer:
         """Pieces of the shortest path. A character that no piece is stands for its bytes.
 
         Merging the beginning of a text ends in one way, so of all pieces that
-        end at a place one at most is on a path of finite weight: one state a place.
+        end at a place just one is on a path of finite weight: one state a place,
+        and the first arc of finite weight that is found is the shortest.
         """
-        known, size, longest, weights = self.vocabulary.pieces, len(chunk), self.longest, self.weights
-        least, before, last = [INFINITE] * (size + 1), [0] * (size + 1), [""] * (size + 1)
-        least[0] = 0.0
-        for start in range(size):
-            if least[start] == INFINITE:
-                continue
-            left = last[start]
-            for end in range(start + 1, min(size, start + longest) + 1):
-                piece = chunk[start:end]
-                if piece in known or end == start + 1:
-                    arc = weights.get((left, piece))
-                    if arc is None:
-                        arc = self.between(left, piece)
-                    if least[start] + 1 + arc < least[end]:
-                        least[end], before[end], last[end] = least[start] + 1 + arc, start, piece
+        size, weights = len(chunk), self.weights
+        last: list[str | None] = [""] + [None] * size
+        before, reached = [0] * (size + 1), 0
+        for at, (piece, length) in self.automaton.iter(chunk):
+            at += 1
+            if last[at] is None:
+                while reached < at - 1:
+                    reached += 1
+                    if last[reached] is None:
+                        self._step(chunk, reached, last, before)
+                left = last[at - length]
+                arc = weights.get((left, piece))
+                if arc is None:
+                    arc = self.between(left, piece)
+                if arc == 0.0:
+                    last[at], before[at] = piece, at - length
+        for at in range(reached + 1, size + 1):
+            if last[at] is None:
+                self._step(chunk, at, last, before)
         out, place = [], size
         while place > 0:
             out.append(last[place])
             place = before[place]
         return out[::-1]
 
+    @staticmethod
+    def _step(chunk: str, at: int, last: list[str | None], before: list[int]) -> None:
+        """The arc of a single character, where no piece ends."""
+        last[at], before[at] = chunk[at - 1], at - 1
+
     def solve(self, chunk: str) -> bytes:
         """Ids of a chunk, as 32-bit numbers."""
-        ids = array("i")
-        for piece in self.path(chunk):
-            if found := self.vocabulary.pieces.get(piece):
-                ids.append(found[0])
-            else:
-                ids.extend(self.vocabulary.bytes[b] for b in piece.encode())
-        return ids.tobytes()
+        numbers = self.numbers
+        return b"".join(
+            [numbers.get(p) or b"".join([self.byte_numbers[b] for b in p.encode()]) for p in self.path(chunk)]
+        )
 
     def _chunk(self, chunk: str) -> bytes:
-        found = self.chunks.get(chunk)
-        if found is None:
-            if len(self.chunks) >= MEMO:
-                self.chunks.clear()
-            found = self.solve(chunk)
-            if len(chunk) <= 64:
-                self.chunks[chunk] = found
-        return found
+        return self.chunks[chunk] if len(chunk) <= LONG else self.solve(chunk)
 
     @cached_property
     def own_blank(self) -> bytes:
         """U+2581 of a text: its bytes, as no piece may stand for it."""
-        return array("i", [self.vocabulary.bytes[b] for b in BLANK.encode()]).tobytes()
+        return b"".join(self.byte_numbers[b] for b in BLANK.encode())
 
     @cached_property
     def line_feed(self) -> bytes:
-        return self._chunk("\n")
+        return self.solve("\n")
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as 32-bit numbers; none for the empty text."""
@@ -167,17 +196,12 @@ class Transducer:
             first, *words = line.split(" ")
             if first:
                 out.append(self._chunk(first))
-            out += [self.words.get(w) or self._word(w) for w in words]
+            if len(line) <= LONG or max(map(len, words), default=0) <= LONG:
+                out += map(self.words.__getitem__, words)
+            else:
+                out += [self._chunk(BLANK + w) for w in words]
         return b"".join(out)
 
-    def _word(self, word: str) -> bytes:
-        if len(self.words) >= MEMO:
-            self.words.clear()
-        found = self.solve(BLANK + word)
-        if len(word) <= 64:
-            self.words[word] = found
-        return found
-
     @cached_property
     def outputs(self) -> dict[int, bytes]:
         made = {i: p.replace(BLANK, " ").encode() for p, (i, _) in self.vocabulary.pieces.items()}
