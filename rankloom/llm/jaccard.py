@@ -16,6 +16,8 @@ each class is compared with the class at the head of most of its lists; then,
 within lists, the classes that are not yet in one component are compared with
 each other. Only the second round pairs freely, and only what the first left apart.
 
+A pair also needs room: the elements behind its smallest shared ones bound what
+it shares, so sets that agree in a common passage alone are no candidates.
 Before whole sets are sent, pairs are tested on parity sketches, a bit an
 element or more: bits that differ are no more than elements that do, so no
 pair that links is lost.
@@ -37,10 +39,9 @@ from .graph import components
 
 WORDS = 5
 PERCENT = 75
-COUNT_BITS = 20
+COUNT_BITS = 23
 FILTER_BITS = 24
 CHUNK = 1 << 14  # bytes of a table that travel together
-MEMO = 200_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
 
@@ -50,20 +51,39 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Hashes(dict):
-    """64-bit hashes of words; bounded."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: A 64-bit number for each byte.
+_OF_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD[0])
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64, n at least."""
+    if len(_POWERS[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        for i, base in enumerate((int(_ODD[1]), pow(int(_ODD[1]), -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS[0], _POWERS[1]
 
-def shingles(text: bytes | None, known: Hashes) -> np.ndarray:
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words, all at once: differences of one running sum over the text, moved to a common power."""
+    data = np.frombuffer(text, np.uint8)
+    inside = np.concatenate([[False], ~_SPACE[data], [False]])
+    edges = np.nonzero(inside[1:] != inside[:-1])[0]
+    starts, ends = edges[::2], edges[1::2]
+    up, down = powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_OF_BYTE[data] * up[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def shingles(text: bytes | None) -> np.ndarray:
     """The set as sorted 64-bit hashes; A-Z lower-cased, fewer than WORDS words make one shingle."""
-    words = (text or b"").lower().split()
-    run = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    run = word_hashes((text or b"").lower())
     if not len(run):
         return run
     size = min(WORDS, len(run))
@@ -104,17 +124,21 @@ def needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def signatures(found: np.ndarray, counts: np.ndarray, boundary: int) -> np.ndarray:
+def signatures(found: np.ndarray, counts: np.ndarray, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures, and the room of each: what a set can share if a signature holds its smallest shared elements."""
     n = len(found)
     ranked = found[np.lexsort((found, counts[found >> np.uint64(64 - COUNT_BITS)]))]
-    out = []
+    out, room = [found[:0]], [np.zeros(0, np.int32)]
     if n >= 2 and n < boundary:
         first = ranked[: n - needed(n) + 2]
         i, j = np.triu_indices(len(first), 1)
         out.append(mixed(mixed(first[i] + _ODD[0]) + first[j]))
+        room.append((n - j + 1).astype(np.int32))
     if n >= needed(boundary):
-        out.append(mixed(ranked[: n - needed(n) + 1] + _ODD[3]))
-    return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
+        first = ranked[: n - needed(n) + 1]
+        out.append(mixed(first + _ODD[3]))
+        room.append((n - np.arange(len(first))).astype(np.int32))
+    return np.concatenate(out).view(np.int64), np.concatenate(room)
 
 
 def boundary_of(sizes: dict[int, int], scan: int = 8, most: int = 400) -> int:
@@ -169,7 +193,7 @@ def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
     ddl = f"`{key}` {fields.dataType.simpleString()}, n int, `set` long, sketch binary, chunk int, data binary"
 
     def run(batches):
-        known, counts = Hashes(), np.zeros(1 << COUNT_BITS, np.uint32)
+        counts = np.zeros(1 << COUNT_BITS, np.uint32)
         names = [key, "n", "set", "sketch", "chunk", "data"]
         key_type = None
         for batch in batches:
@@ -177,7 +201,7 @@ def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
             for piece in pieces(batch):
                 sizes, classes, marks = [], [], []
                 for value in values(piece.column(1)):
-                    found = shingles(value, known)
+                    found = shingles(value)
                     sizes.append(len(found))
                     classes.append(set_class(found) if len(found) else None)
                     marks.append(sketch(found) if len(found) else None)
@@ -196,19 +220,22 @@ def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _with_signatures(docs: DataFrame, text: str, counts: np.ndarray, boundary: int) -> DataFrame:
-    """set, signatures, per document."""
+    """set, n, sig, room: a row for each signature of each document."""
     held = docs.sparkSession.sparkContext.broadcast(counts)
 
     def start():
-        known, table = Hashes(), held.value
+        table = held.value
 
         def work(texts):
-            sets = [shingles(t, known) for t in texts]
-            return [set_class(s) if len(s) else None for s in sets], [signatures(s, table, boundary) for s in sets]
+            sets = [shingles(t) for t in texts]
+            found = [signatures(s, table, boundary) for s in sets]
+            classes = [set_class(s) if len(s) else None for s in sets]
+            return classes, [len(s) for s in sets], [f[0] for f in found], [f[1] for f in found]
 
         return work
 
-    return annotate(docs.select(text), [text], "`set` long, signatures array<long>", start, keep=[])
+    rows = annotate(docs.select(text), [text], "`set` long, n int, sig array<long>, room array<int>", start, keep=[])
+    return rows.select("set", "n", F.inline(F.arrays_zip("sig", "room")))
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -229,12 +256,12 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def start():
-        known, table = Hashes(), held.value
+        table = held.value
 
         def work(texts):
             classes, elements = [], []
             for text in texts:
-                found = shingles(text, known)
+                found = shingles(text)
                 number = set_class(found) if len(found) else None
                 at = 0 if number is None else (number & (1 << 64) - 1) >> 64 - FILTER_BITS
                 hit = number is not None and table[at >> 3] >> (at & 7) & 1
@@ -276,10 +303,24 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     )
 
 
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of lists with their components so far."""
+    rows = members.join(found.withColumnRenamed("id", "set"), "set", "left")
+    return rows.withColumn("component", F.coalesce("component", "set"))
+
+
 def similar(n: str, m: str) -> str:
     return f"100 * least({n}, {m}) >= {PERCENT} * greatest({n}, {m})"
 
 
+def roomy(n: str, m: str, room_n: str, room_m: str) -> str:
+    """Sizes fit, and neither set has too little left behind the signature.
+
+    This holds in at least one list, that of their smallest shared elements, for any two sets that link.
+    """
+    return f"{similar(n, m)} and {100 + PERCENT} * least({room_n}, {room_m}) >= {PERCENT} * ({n} + {m})"
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id (the smallest key reachable by links, its own included).
 
@@ -295,27 +336,41 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     counts = combined(told.where("chunk is not null"), "u4", 4 << COUNT_BITS)
     sizes = dict(rows.where("n between 1 and 600").groupBy("n").count().collect())
     boundary = boundary_of({int(n): k for n, k in sizes.items()})
-    spread = _with_signatures(docs, text, counts, boundary).select("set", F.explode("signatures").alias("sig"))
+    spread = _with_signatures(docs, text, counts, boundary)
     by_list = Window.partitionBy("sig").orderBy("set")
     lists = spread.select(
-        "sig", "set",
-        F.first("set").over(by_list.rowsBetween(Window.unboundedPreceding, 0)).alias("head"),
+        "sig", "set", "n", "room",
+        F.first(F.struct("set", "n", "room")).over(by_list.rowsBetween(Window.unboundedPreceding, 0)).alias("head"),
         F.lag("set").over(by_list).alias("last"),
     )
     # Members behind the head, copies of a class once.
-    lists = settle_table(lists.where("head != set and last != set").drop("last"))
-    heads = lists.select(F.col("head").alias("a"), F.col("set").alias("b")).groupBy("a", "b").agg(F.count("*").alias("k"))
+    lists = settle_table(lists.where("head.set != set and last != set").drop("last"))
+    heads = lists.where(roomy("n", "head.n", "room", "head.room")).select(F.col("head.set").alias("a"), F.col("set").alias("b"))
+    heads = heads.groupBy("a", "b").agg(F.count("*").alias("k"))
     heads = _possible(heads, sketches).groupBy("b").agg(F.max_by("a", F.struct("k", "a")).alias("a"))
     first = settle_table(_linked(heads, docs, text))
     found = components(first)
-    # What the first round left apart, list by list.
-    members = lists.select("sig", "set").unionByName(lists.select("sig", F.col("head").alias("set")).distinct())
-    placed = members.join(found.withColumnRenamed("id", "set"), "set", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "set"))
-    mixed_lists = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    # What the first round left apart, list by list: each component with a member of the smallest component of its lists.
+    members = settle_table(lists.select("sig", "set", "n", "room").unionByName(lists.select("sig", "head.*").distinct()))
+    placed = _placed(members, found)
+    least = placed.groupBy("sig").agg(F.min(F.struct("component", "set", "n", "room")).alias("to"), F.max("component").alias("hi"))
+    heads = placed.join(least.where("to.component != hi").drop("hi"), "sig")
+    heads = heads.where(f"component != to.component and {roomy('n', 'to.n', 'room', 'to.room')}")
+    heads = heads.groupBy(F.col("to.set").alias("a"), F.col("set").alias("b"), "component").agg(F.count("*").alias("k"))
+    heads = _possible(heads, sketches).groupBy("component").agg(F.max_by(F.struct("a", "b"), F.struct("k", "a", "b")).alias("p"))
+    first = settle_table(first.unionByName(_linked(heads.select("p.*"), docs, text)))
+    found = components(first)
+    # All that is still apart.
+    placed = _placed(members, found)
+    whole = placed.groupBy("sig").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.count("*").alias("k"), F.sum(F.xxhash64("set", "n", "room").cast("decimal(38,0)")).alias("who"),
+    )
+    # Lists of the same members with the same room say the same: one of them does.
+    mixed_lists = whole.where("lo != hi").groupBy("k", "who").agg(F.min("sig").alias("sig"))
     open_lists = settle_table(placed.join(mixed_lists.select("sig"), "sig", "left_semi"))
     a, b = open_lists.alias("a"), open_lists.alias("b")
-    pairs = a.join(b, F.expr("a.sig = b.sig and a.component < b.component"))
+    pairs = a.join(b, F.expr(f"a.sig = b.sig and a.component < b.component and {roomy('a.n', 'b.n', 'a.room', 'b.room')}"))
     pairs = pairs.select(F.least("a.set", "b.set").alias("a"), F.greatest("a.set", "b.set").alias("b")).distinct()
     second = _linked(_possible(pairs, sketches), docs, text)
     found = components(first.unionByName(second))
