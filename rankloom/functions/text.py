@@ -160,11 +160,17 @@ def first_filled(*columns: Expr, default: Expr | None = None) -> Column:
 
 
 def number_or_zero(value: Expr) -> Column:
-    return F.coalesce(_c(value).try_cast("double"), F.lit(0.0))
+    """The number a text states; 0 for none, for `nan`, and for a Java number with a type letter (5d, 5f)."""
+    text = _c(value).cast("string")
+    number = F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
 
 
 def day_of(value: Expr) -> Column:
-    return F.to_date(F.try_to_timestamp(_c(value)))
+    """The day as written, whatever the offset of the time; null for what is no time."""
+    moment = F.try_to_timestamp(_c(value))
+    written = F.regexp_extract(_c(value).cast("string"), r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})", 1).try_cast("date")
+    return F.when(moment.isNotNull(), F.coalesce(written, F.to_date(moment)))
 
 
 def card_text(

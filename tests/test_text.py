@@ -166,3 +166,10 @@ def test_numbers_and_days(spark):
     rows = spark.createDataFrame([("12", "2024-03-01T10:00:00Z"), ("x", "never")], "n string, d string")
     got = rows.select(tx.number_or_zero("n"), tx.day_of("d").cast("string")).collect()
     assert [tuple(r) for r in got] == [(12.0, "2024-03-01"), (0.0, None)]
+
+
+def test_numbers_and_days_as_written(spark):
+    rows = [("nan", "2024-01-02T23:30:00-05:00"), ("5d", "2024-01-02T23:59:59Z"), ("5f", "no day"), ("7.5", None), (None, "2024-01-02")]
+    df = spark.createDataFrame(rows, "n string, t string")
+    got = [tuple(r) for r in df.select(tx.number_or_zero("n"), tx.day_of("t").cast("string")).collect()]
+    assert got == [(0.0, "2024-01-02"), (0.0, "2024-01-02"), (0.0, None), (7.5, None), (0.0, "2024-01-02")]
