@@ -36,6 +36,9 @@ MEMO = 300_000
 INFINITE = float("inf")
 #: Characters of a word beyond which it is solved anew each time.
 LONG = 64
+#: Characters by whose last ones the pieces are found.
+TAIL = 3
+SHORT = tuple(range(TAIL - 1, 0, -1))
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}\\n]*|\\n|[^{BLANK}\\n]+")
 
 
@@ -60,6 +63,8 @@ class Vocabulary:
             raise ValueError("the model has no byte fallback")
         if any(BLANK in p.lstrip(BLANK) or "\n" in p for p in pieces):
             raise ValueError("a piece goes across a word's end")
+        if any(c not in pieces for p in pieces for c in p):
+            raise ValueError("a piece holds a character that is none")
         return cls(pieces, bytes_)
 
 
@@ -94,9 +99,16 @@ class Transducer:
         number = lambda i: i.to_bytes(4, sys.byteorder)
         self.numbers = {p: number(i) for p, (i, _) in vocabulary.pieces.items()}
         self.byte_numbers = [number(vocabulary.bytes[b]) for b in range(256)]
-        self.weights: dict[tuple[str, str], float] = {}
-        self.words = Memo(lambda word: self.solve(BLANK + word))
-        self.chunks = Memo(self.solve, MEMO // 4)
+        self.names = {number: p for p, number in self.numbers.items()}
+        #: Of arcs, by the two numbers.
+        self.weights: dict[bytes, float] = {}
+        #: By the last characters of a text: the lengths that a piece at its end can have, long ones first.
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        for length, tail in sorted({(len(p), p[-TAIL:]) for p in vocabulary.pieces if len(p) >= TAIL}):
+            self.lengths[tail] = (length, *self.lengths.get(tail, SHORT))
+        self.states = Memo(self.state)
+        self.words = Memo(lambda word: self.state(BLANK + word))
+        self.chunks = Memo(self.state, MEMO // 4)
 
     def merged(self, text: str) -> list[str]:
         """What merging leaves of a short text: the best-scored neighbours first, the left pair of equals."""
@@ -110,12 +122,12 @@ class Transducer:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def between(self, left: str, right: str) -> float:
+    def between(self, arc: bytes, left: str, right: str) -> float:
         """Weight of the arc from piece to piece, or to a first piece: 0 if merging leaves just these."""
         if len(self.weights) >= MEMO:
             self.weights.clear()
         weight = 0.0 if self.merged(left + right) == ([left, right] if left else [right]) else INFINITE
-        self.weights[left, right] = weight
+        self.weights[arc] = weight
         return weight
 
     def path(self, chunk: str) -> list[str]:
@@ -125,7 +137,7 @@ class Transducer:
         end at a place just one is on a path of finite weight: one state a place,
         and the first arc of finite weight that is found is the shortest.
         """
-        size, weights = len(chunk), self.weights
+        size, weights, numbers = len(chunk), self.weights, self.numbers
         last: list[str | None] = [""] + [None] * size
         before, reached = [0] * (size + 1), 0
         for at, (piece, length) in self.automaton.iter(chunk):
@@ -136,10 +148,11 @@ class Transducer:
                     if last[reached] is None:
                         self._step(chunk, reached, last, before)
                 left = last[at - length]
-                arc = weights.get((left, piece))
-                if arc is None:
-                    arc = self.between(left, piece)
-                if arc == 0.0:
+                arc = (numbers.get(left) or self._bytes(left)[-4:]) + numbers[piece]
+                weight = weights.get(arc)
+                if weight is None:
+                    weight = self.between(arc, left, piece)
+                if weight == 0.0:
                     last[at], before[at] = piece, at - length
         for at in range(reached + 1, size + 1):
             if last[at] is None:
@@ -155,12 +168,37 @@ class Transducer:
         """The arc of a single character, where no piece ends."""
         last[at], before[at] = chunk[at - 1], at - 1
 
+    def state(self, text: str) -> bytes:
+        """Ids of the shortest path to the end of a short text, as 32-bit numbers.
+
+        The path to a place depends on the text before it alone, so words that
+        begin alike share these states. The last id stands for the last piece;
+        a byte stands for any character that no piece holds, and these are alike.
+        """
+        if not text:
+            return b""
+        states, weights, numbers = self.states, self.weights, self.numbers
+        for length in self.lengths.get(text[-TAIL:], SHORT):
+            piece = text[-length:]
+            number = numbers.get(piece)
+            if number is not None and len(piece) == length:
+                ids = states[text[:-length]]
+                arc = ids[-4:] + number
+                weight = weights.get(arc)
+                if weight is None:
+                    weight = self.between(arc, self.names.get(ids[-4:], text[:-length][-1:]), piece)
+                if weight == 0.0:
+                    return ids + number
+        return states[text[:-1]] + self._bytes(text[-1])
+
     def solve(self, chunk: str) -> bytes:
-        """Ids of a chunk, as 32-bit numbers."""
+        """Ids of a long chunk, whose states aren't remembered."""
         numbers = self.numbers
-        return b"".join(
-            [numbers.get(p) or b"".join([self.byte_numbers[b] for b in p.encode()]) for p in self.path(chunk)]
-        )
+        return b"".join([numbers.get(p) or self._bytes(p) for p in self.path(chunk)])
+
+    def _bytes(self, char: str) -> bytes:
+        """Byte fallback."""
+        return b"".join([self.byte_numbers[b] for b in char.encode()])
 
     def _chunk(self, chunk: str) -> bytes:
         return self.chunks[chunk] if len(chunk) <= LONG else self.solve(chunk)
@@ -168,7 +206,7 @@ class Transducer:
     @cached_property
     def own_blank(self) -> bytes:
         """U+2581 of a text: its bytes, as no piece may stand for it."""
-        return b"".join(self.byte_numbers[b] for b in BLANK.encode())
+        return self._bytes(BLANK)
 
     @cached_property
     def line_feed(self) -> bytes:
