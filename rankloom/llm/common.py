@@ -59,6 +59,10 @@ def annotate(
 
 def values(column: pa.Array) -> list:
     """The values; strings as their bytes, which need no decoding."""
+    if pa.types.is_list(column.type) and pa.types.is_integer(column.type.value_type) and not column.flatten().null_count:
+        numbers, ends = column.values, column.offsets.to_pylist()
+        found = [numbers[at:to].to_numpy().tolist() for at, to in zip(ends, ends[1:], strict=False)]
+        return [x if known else None for x, known in zip(found, column.is_valid().to_pylist(), strict=True)]
     text = pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
     return (column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()) if text else column).to_pylist()
 

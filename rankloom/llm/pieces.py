@@ -69,13 +69,15 @@ class Vocabulary:
 
 
 class Memo(dict):
-    """What was solved lately: two generations, so that frequent words outlive the others."""
+    """What was solved lately: two generations, so that frequent words outlive the others; long ones are solved anew."""
 
     def __init__(self, solve, size: int = MEMO):
         super().__init__()
         self.solve, self.size, self.old = solve, size, {}
 
     def __missing__(self, word):
+        if len(word) > LONG:
+            return self.solve(word)
         found = self.old.get(word)
         if found is None:
             found = self.solve(word)
@@ -86,6 +88,13 @@ class Memo(dict):
         return found
 
 
+class Outputs(dict):
+    """What an id gives; unknown ones give nothing."""
+
+    def __missing__(self, number):
+        return b""
+
+
 class Transducer:
     def __init__(self, vocabulary: Vocabulary):
         import ahocorasick
@@ -107,8 +116,8 @@ class Transducer:
         for length, tail in sorted({(len(p), p[-TAIL:]) for p in vocabulary.pieces if len(p) >= TAIL}):
             self.lengths[tail] = (length, *self.lengths.get(tail, SHORT))
         self.states = Memo(self.state)
-        self.words = Memo(lambda word: self.state(BLANK + word))
-        self.chunks = Memo(self.state, MEMO // 4)
+        self.words = Memo(lambda word: self.ids(BLANK + word))
+        self.chunks = Memo(self.ids, MEMO // 4)
 
     def merged(self, text: str) -> list[str]:
         """What merging leaves of a short text: the best-scored neighbours first, the left pair of equals."""
@@ -200,8 +209,8 @@ class Transducer:
         """Byte fallback."""
         return b"".join([self.byte_numbers[b] for b in char.encode()])
 
-    def _chunk(self, chunk: str) -> bytes:
-        return self.chunks[chunk] if len(chunk) <= LONG else self.solve(chunk)
+    def ids(self, chunk: str) -> bytes:
+        return self.state(chunk) if len(chunk) <= LONG else self.solve(chunk)
 
     @cached_property
     def own_blank(self) -> bytes:
@@ -222,33 +231,29 @@ class Transducer:
             for i, part in enumerate(text.split(BLANK)):
                 if i:
                     out.append(self.own_blank)
-                out += map(self._chunk, _CHUNK.findall(part.replace(" ", BLANK)))
+                out += map(self.chunks.__getitem__, _CHUNK.findall(part.replace(" ", BLANK)))
             return b"".join(out)
         out = []
         for i, line in enumerate(text.split("\n")):
             if i:
                 out.append(self.line_feed)
             if "  " in line or line.endswith(" "):
-                out += map(self._chunk, _CHUNK.findall(line.replace(" ", BLANK)))
+                out += map(self.chunks.__getitem__, _CHUNK.findall(line.replace(" ", BLANK)))
                 continue
             first, *words = line.split(" ")
             if first:
-                out.append(self._chunk(first))
-            if len(line) <= LONG or max(map(len, words), default=0) <= LONG:
-                out += map(self.words.__getitem__, words)
-            else:
-                out += [self._chunk(BLANK + w) for w in words]
+                out.append(self.chunks[first])
+            out += map(self.words.__getitem__, words)
         return b"".join(out)
 
     @cached_property
     def outputs(self) -> dict[int, bytes]:
         made = {i: p.replace(BLANK, " ").encode() for p, (i, _) in self.vocabulary.pieces.items()}
-        return made | {i: bytes([b]) for b, i in self.vocabulary.bytes.items()}
+        return Outputs(made | {i: bytes([b]) for b, i in self.vocabulary.bytes.items()})
 
     def decode(self, ids) -> str:
         """The text; unknown ids give nothing, bytes that aren't UTF-8 give U+FFFD."""
-        out = self.outputs
-        joined = b"".join([out.get(i, b"") for i in ids])
+        joined = b"".join(map(self.outputs.__getitem__, ids))
         return joined.removeprefix(b" ").decode("utf-8", "replace")
 
 
