@@ -14,6 +14,7 @@ summed by (query, document).
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
@@ -79,8 +80,9 @@ def term_table(packed: DataFrame) -> DataFrame:
     """(term, df, cf, documents, low, high) by a map-side combined count.
 
     documents counts the documents whose first term this is, low and high bound
-    the positions seen; together they describe the collection, so that one pass
-    over the texts is enough. Empty documents make a row with a null term.
+    the positions seen, marks joins the hashes of these documents' positions;
+    together they describe the collection, so that one pass over the texts is
+    enough. Empty documents make a row with a null term.
     """
     first = F.coalesce(F.col("i"), F.lit(0)) == 0
     return _exploded(packed).groupBy("term").agg(
@@ -89,21 +91,30 @@ def term_table(packed: DataFrame) -> DataFrame:
         F.count_if(first).alias("documents"),
         F.min("pos").alias("low"),
         F.max("pos").alias("high"),
+        F.bit_xor(F.when(first, _mark("pos"))).alias("marks"),
     )
 
 
+def _mark(pos: str) -> Column:
+    return F.xxhash64(F.col(pos).cast("long"))
+
+
 def corpus_stats(terms: DataFrame) -> CorpusStats:
     """Collection-wide numbers; two rows reach the driver.
 
     Positions that are not 0..n-1 raise ValueError.
     """
     row = terms.agg(
-        F.coalesce(F.sum("documents"), F.lit(0)).alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
-    ).first()
+        F.coalesce(F.sum("documents"), F.lit(0)).alias("n"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.bit_xor("marks").alias("marks"),
+    ).first()
     if row.n and (row.low, row.high) != (0, row.n - 1):
         raise ValueError(
             f"pos must run from 0 to {row.n - 1}, found {row.low}..{row.high}; number the rows first"
         )
+    # A position that is missing or there twice changes the joined hashes, as the count is right.
+    if row.n and row.marks != terms.sparkSession.range(row.n).agg(F.bit_xor(_mark("id"))).first()[0]:
+        raise ValueError(f"pos must hold each number from 0 to {row.n - 1} once; number the rows first")
     known = terms.where(F.col("term").isNotNull())
     sums = known.agg(
         F.sum("cf").alias("tokens"),
@@ -318,13 +329,18 @@ class LexicalIndex:
         return zero.join(scored.select("query_id", "pos"), ["query_id", "pos"], "left_anti")
 
 
+def _table_name(path: str, buckets: int) -> str:
+    """Catalog name of a saved index: one for each place and number of buckets."""
+    return "lexical_" + hashlib.sha256(f"{path.rstrip('/')} {buckets}".encode()).hexdigest()[:32]
+
+
 def save_index(docs: DataFrame, path: str, buckets: int = 8, body_limit: int | None = None) -> CorpusStats:
     """Write postings bucketed by document and sorted by term, and the rest beside.
 
     Inside a bucket the sort lets a read skip row groups without query terms.
     """
     spark = docs.sparkSession
-    table = "lexical_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_").replace(".", "_")
+    table = _table_name(path, buckets)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     (
         postings(packed_documents(docs))
@@ -361,12 +377,13 @@ def load_index(
     wrong = {k: (found.get(k), v) for k, v in expected.items() if found.get(k) != v}
     if wrong:
         raise ValueError(f"saved index does not fit (found, expected): {wrong}")
-    table = "lexical_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_").replace(".", "_")
+    table = _table_name(path, found["buckets"])
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} (pos BIGINT, length BIGINT, term STRING, tf INT) "
         f"USING parquet CLUSTERED BY (pos) SORTED BY (term) INTO {found['buckets']} BUCKETS "
         f"LOCATION '{path}/postings'"
     )
+    spark.catalog.refreshTable(table)
     stats = CorpusStats(
         found["documents"], found["tokens"], found["vocabulary"], found["mean_idf"]
     )

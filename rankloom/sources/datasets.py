@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import fixed_values as fv
 from ..operators.dense import check_vectors
+from ..operators.ordering import number_rows
 
 REQUIRED = ("model_id", "modelCard")
 
@@ -55,13 +56,19 @@ def card_columns(rows: DataFrame) -> DataFrame:
 
 
 def read_qrels(spark: SparkSession, path: str) -> DataFrame:
-    """(row_no, query, relevant_model_ids) of a CSV file; the first data row is 2."""
+    """(row_no, query, relevant_model_ids) of CSV files; the first data row is 2.
+
+    Rows of several files are numbered on, by file name and place in the file.
+    """
     rows = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+    # A file with quoted line breaks is read in one piece, so its rows have rising ids.
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"))
     rows = rows.withColumnsRenamed({c: c.lstrip("﻿").strip() for c in rows.columns})
     require(rows, ("query", "relevant_model_ids"))
-    # A file with quoted line breaks is read in one piece, so ids count its rows.
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.select((within + 2).alias("row_no"), "query", "relevant_model_ids")
+    rows = number_rows(
+        rows.select("query", "relevant_model_ids", "_file", "_line"), [F.col("_file"), F.col("_line")], "_row"
+    )
+    return rows.select((F.col("_row") + 2).alias("row_no"), "query", "relevant_model_ids")
 
 
 def artifact_counts(vectors: DataFrame, ids: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ def write_table(rows: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_results(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Result table as CSV with a header; quotes inside a field are doubled."""
-    rows.write.mode(mode).csv(path, header=True, quote='"', escape='"')
+    """Result table as CSV with a header; quotes inside a field are doubled, blanks at its ends stay."""
+    rows.write.mode(mode).csv(
+        path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def report_rows(summary: DataFrame, details: DataFrame, name: str) -> DataFrame:

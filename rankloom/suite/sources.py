@@ -56,7 +56,9 @@ def read_csv(spark, sf_dir):
 @query("a1_read_tsv", CARD_ROWS)
 def read_tsv(spark, sf_dir):
     path = new_path(spark, ".tsv")
-    _as_text(spark, sf_dir).write.csv(path, sep="\t", header=True, quote='"', escape='"')
+    _as_text(spark, sf_dir).write.csv(
+        path, sep="\t", header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
     return _card_rows(ds.read_dataset(spark, path, schema=CARD_SCHEMA))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rankloom.operators import cards as cd
 from rankloom.operators import profile as pf
 from rankloom.operators.encode import HashedTermEncoder
+from rankloom.operators.labels import load_qrels
 from rankloom.operators.ordering import (
     first_of_each,
     join_small,
@@ -146,6 +147,29 @@ def test_relevance_file_with_byte_order_mark(spark, tmp_path):
         ds.read_qrels(spark, str(path))
 
 
+def test_relevance_files_are_numbered_on(spark, tmp_path):
+    folder = tmp_path / "qrels.csv"
+    folder.mkdir()
+    for part in range(3):
+        lines = [f"q{part}{i},a" for i in range(3)]
+        (folder / f"part-{part}.csv").write_text("query,relevant_model_ids\n" + "\n".join(lines) + "\n")
+    rows = ds.read_qrels(spark, str(folder))
+    assert [(r.row_no, r.query) for r in rows.orderBy("row_no").collect()] == [
+        (2 + 3 * part + i, f"q{part}{i}") for part in range(3) for i in range(3)
+    ]
+    queries, _ = load_qrels(rows)
+    assert queries.select("query_id").distinct().count() == 9
+    (folder / "part-9.csv").write_text("query,relevant_model_ids\nq00,b\n")
+    with pytest.raises(ValueError):
+        load_qrels(ds.read_qrels(spark, str(folder)))
+
+
+def test_blanks_survive_a_result_table(spark, tmp_path):
+    rows = spark.createDataFrame([("  lead and trail  ",)], "text string")
+    sinks.write_results(rows, f"{tmp_path}/blanks")
+    assert spark.read.csv(f"{tmp_path}/blanks", header=True).first().text == "  lead and trail  "
+
+
 def test_reports_and_result_tables(spark, tmp_path):
     summary = spark.createDataFrame([("mrr", 0.5), ("ndcg@5", 0.25)], "metric string, value double")
     details = spark.createDataFrame([(1, ["a"], [1])], "query_id bigint, retrieved_model_ids array<string>, ranks array<int>")

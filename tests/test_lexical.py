@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankloom.operators import lexical
 from rankloom.operators.lexical import LexicalIndex, load_index, open_or_build, save_index
@@ -101,6 +102,23 @@ def test_positions_must_be_dense(spark):
         LexicalIndex.build(documents(spark, ["a", "b", "c"]).where("pos <> 1"))
 
 
+def test_positions_that_repeat_are_refused(spark):
+    docs = documents(spark, ["a", "b", "c"])
+    with pytest.raises(ValueError):
+        LexicalIndex.build(docs.withColumn("pos", F.when(F.col("pos") == 1, 0).otherwise(F.col("pos"))))
+
+
+def test_saved_indexes_of_one_base_name(spark, tmp_path):
+    asked = queries(spark, ["video"], 1)
+    paths = [f"{tmp_path}/{name}" for name in ("a/idx", "b/idx", "b/idx-1", "b/idx.1")]
+    for at, path in enumerate(paths):
+        save_index(documents(spark, ["video" if i == at else "text" for i in range(5)]), path)
+    for at, path in enumerate(paths):
+        assert [r.pos for r in load_index(spark, path).search(asked).collect()] == [at]
+    save_index(documents(spark, ["text", "text", "text", "text", "video"]), paths[0], buckets=3)
+    assert [r.pos for r in load_index(spark, paths[0]).search(asked).collect()] == [4]
+
+
 def test_saved_index_is_checked_and_reused(spark, tmp_path):
     texts = ["football video", "text generation", "image segmentation", "video text"]
     docs, path = documents(spark, texts), str(tmp_path / "idx1")
