@@ -25,6 +25,8 @@ pair that links is lost.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import batched
 from math import comb
 
 import numpy as np
@@ -98,6 +100,11 @@ def set_class(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), seed=len(found)) - (1 << 63)
 
 
+def text_mark(text: bytes | None) -> int:
+    """A number that tells texts apart at less cost than their sets."""
+    return xxhash.xxh64_intdigest(text or b"") - (1 << 63)
+
+
 def sketch(found: np.ndarray) -> bytes:
     """Parities of the elements by hash, on a power of two of bits, 64 at least and as many as elements."""
     bits = max(6, (len(found) - 1).bit_length())
@@ -167,7 +174,7 @@ def combined(chunks: DataFrame, kind: str, size: int) -> np.ndarray:
                     held[at] |= part
                 else:
                     held[at] = np.minimum(held[at].astype(np.uint64) + part, 0xFFFFFFFF).astype(np.uint32)
-        yield _chunk_batch(held)
+        yield from _chunk_batches(held)
 
     schema = "chunk int, data binary"
     whole = np.zeros(size, np.uint8)
@@ -176,9 +183,11 @@ def combined(chunks: DataFrame, kind: str, size: int) -> np.ndarray:
     return whole.view(kind)
 
 
-def _chunk_batch(held: dict[int, np.ndarray]) -> pa.RecordBatch:
-    data = [x.tobytes() for x in held.values()]
-    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(data, pa.binary())], ["chunk", "data"])
+def _chunk_batches(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The chunks, a megabyte at a time."""
+    for part in batched(held.items(), 64):
+        at, data = [k for k, _ in part], [x.tobytes() for _, x in part]
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(data, pa.binary())], ["chunk", "data"])
 
 
 def _chunks(table: np.ndarray) -> dict[int, np.ndarray]:
@@ -188,33 +197,34 @@ def _chunks(table: np.ndarray) -> dict[int, np.ndarray]:
 
 
 def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, n, set, sketch: per document; and, with a chunk number, the task's shingle counts."""
+    """key, n, set, seen, sketch: per document; and, with a chunk number, the task's shingle counts."""
     fields = docs.select(key).schema[0]
-    ddl = f"`{key}` {fields.dataType.simpleString()}, n int, `set` long, sketch binary, chunk int, data binary"
+    ddl = f"`{key}` {fields.dataType.simpleString()}, n int, `set` long, seen long, sketch binary, chunk int, data binary"
 
     def run(batches):
         counts = np.zeros(1 << COUNT_BITS, np.uint32)
-        names = [key, "n", "set", "sketch", "chunk", "data"]
+        names = [key, "n", "set", "seen", "sketch", "chunk", "data"]
         key_type = None
         for batch in batches:
             key_type = batch.schema.field(0).type
             for piece in pieces(batch):
-                sizes, classes, marks = [], [], []
+                sizes, classes, seen, marks = [], [], [], []
                 for value in values(piece.column(1)):
                     found = shingles(value)
                     sizes.append(len(found))
                     classes.append(set_class(found) if len(found) else None)
+                    seen.append(text_mark(value))
                     marks.append(sketch(found) if len(found) else None)
                     np.add.at(counts, found >> np.uint64(64 - COUNT_BITS), 1)
                 none = piece.num_rows
-                arrays = [piece.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(marks, pa.binary())]
-                arrays += [pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())]
+                arrays = [piece.column(0), pa.array(sizes, pa.int32()), pa.array(classes, pa.int64()), pa.array(seen, pa.int64())]
+                arrays += [pa.array(marks, pa.binary()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
         if key_type is not None:
-            part = _chunk_batch(_chunks(counts))
-            rows = part.num_rows
-            arrays = [pa.nulls(rows, key_type), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), *part.columns]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            for part in _chunk_batches(_chunks(counts)):
+                rows = part.num_rows
+                arrays = [pa.nulls(rows, t) for t in (key_type, pa.int32(), pa.int64(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*arrays, *part.columns], names)
 
     return docs.select(key, text).mapInArrow(run, ddl)
 
@@ -239,10 +249,10 @@ def _with_signatures(docs: DataFrame, text: str, counts: np.ndarray, boundary: i
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """set, elements of the classes in `wanted` (set), each once.
+    """set, elements of the classes of which `wanted` (seen) has a text, each once.
 
-    A bit table of fixed size keeps most other documents from being sent; the
-    join is exact.
+    A bit table of fixed size, asked by the mark of a text, keeps the sets of most
+    other documents from being made and sent; the join with the result is exact.
     """
 
     def mark(batches):
@@ -250,9 +260,9 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             at = batch.column(0).to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(64 - FILTER_BITS)
             np.bitwise_or.at(bits, at >> np.uint64(3), (1 << (at & np.uint64(7))).astype(np.uint8))
-        yield _chunk_batch(_chunks(bits))
+        yield from _chunk_batches(_chunks(bits))
 
-    bits = combined(wanted.select("set").mapInArrow(mark, "chunk int, data binary"), "u1", 1 << FILTER_BITS - 3)
+    bits = combined(wanted.select("seen").mapInArrow(mark, "chunk int, data binary"), "u1", 1 << FILTER_BITS - 3)
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def start():
@@ -261,12 +271,10 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         def work(texts):
             classes, elements = [], []
             for text in texts:
-                found = shingles(text)
-                number = set_class(found) if len(found) else None
-                at = 0 if number is None else (number & (1 << 64) - 1) >> 64 - FILTER_BITS
-                hit = number is not None and table[at >> 3] >> (at & 7) & 1
-                classes.append(number if hit else None)
-                elements.append(found.view(np.int64) if hit else None)
+                at = (text_mark(text) & (1 << 64) - 1) >> 64 - FILTER_BITS
+                found = shingles(text) if table[at >> 3] >> (at & 7) & 1 else ()
+                classes.append(set_class(found) if len(found) else None)
+                elements.append(found.view(np.int64) if len(found) else None)
             return classes, elements
 
         return work
@@ -287,13 +295,14 @@ def _possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return tested.where("possible").drop("possible")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, text: str, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that have the similarity, counted on whole sets.
 
-    Both joins read one exchange of the sets.
+    `sketches` names a text of each class. Both joins read one exchange of the sets.
     """
     pairs = settle_table(pairs.select("a", "b"))
-    sets = _sets(docs, text, pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    sets = _sets(docs, text, wanted.join(sketches.select("set", "seen"), "set"))
     shared = F.size(F.array_intersect("x", "y"))
     return (
         pairs.join(sets.select(F.col("set").alias("b"), F.col("elements").alias("y")), "b")
@@ -332,7 +341,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     told = settle_table(_survey(docs, key, text))
     rows = told.where("chunk is null").select(key, "n", "set")
-    sketches = told.where("chunk is null and n > 0").groupBy("set").agg(F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
+    sketches = told.where("chunk is null and n > 0").groupBy("set")
+    sketches = sketches.agg(F.any_value("n").alias("n"), F.min("seen").alias("seen"), F.any_value("sketch").alias("sketch"))
     counts = combined(told.where("chunk is not null"), "u4", 4 << COUNT_BITS)
     sizes = dict(rows.where("n between 1 and 600").groupBy("n").count().collect())
     boundary = boundary_of({int(n): k for n, k in sizes.items()})
@@ -348,7 +358,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     heads = lists.where(roomy("n", "head.n", "room", "head.room")).select(F.col("head.set").alias("a"), F.col("set").alias("b"))
     heads = heads.groupBy("a", "b").agg(F.count("*").alias("k"))
     heads = _possible(heads, sketches).groupBy("b").agg(F.max_by("a", F.struct("k", "a")).alias("a"))
-    first = settle_table(_linked(heads, docs, text))
+    first = settle_table(_linked(heads, docs, text, sketches))
     found = components(first)
     # What the first round left apart, list by list: each component with a member of the smallest component of its lists.
     members = settle_table(lists.select("sig", "set", "n", "room").unionByName(lists.select("sig", "head.*").distinct()))
@@ -358,7 +368,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     heads = heads.where(f"component != to.component and {roomy('n', 'to.n', 'room', 'to.room')}")
     heads = heads.groupBy(F.col("to.set").alias("a"), F.col("set").alias("b"), "component").agg(F.count("*").alias("k"))
     heads = _possible(heads, sketches).groupBy("component").agg(F.max_by(F.struct("a", "b"), F.struct("k", "a", "b")).alias("p"))
-    first = settle_table(first.unionByName(_linked(heads.select("p.*"), docs, text)))
+    first = settle_table(first.unionByName(_linked(heads.select("p.*"), docs, text, sketches)))
     found = components(first)
     # All that is still apart.
     placed = _placed(members, found)
@@ -372,7 +382,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     a, b = open_lists.alias("a"), open_lists.alias("b")
     pairs = a.join(b, F.expr(f"a.sig = b.sig and a.component < b.component and {roomy('a.n', 'b.n', 'a.room', 'b.room')}"))
     pairs = pairs.select(F.least("a.set", "b.set").alias("a"), F.greatest("a.set", "b.set").alias("b")).distinct()
-    second = _linked(_possible(pairs, sketches), docs, text)
+    second = _linked(_possible(pairs, sketches), docs, text, sketches)
     found = components(first.unionByName(second))
     out = rows.join(found.withColumnRenamed("id", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     out = settle_table(out)
