@@ -25,6 +25,7 @@ pair that links is lost.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import batched
 from math import comb
@@ -43,7 +44,10 @@ WORDS = 5
 PERCENT = 75
 COUNT_BITS = 23
 FILTER_BITS = 24
-CHUNK = 1 << 14  # bytes of a table that travel together
+CHUNK = 1 << 14  # entries of a table that travel together
+CODEC = "lz4"
+BLOCK = 1 << 16  # bytes of a text whose words are hashed together
+_GAP = re.compile(rb"[\t-\r ]")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
 
@@ -72,7 +76,18 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of the words, all at once: differences of one running sum over the text, moved to a common power."""
+    """64-bit hashes of the words of a whole text, block by block, so that memory follows the words and not the bytes."""
+    found, at = [], 0
+    while len(text) - at > BLOCK:
+        gap = _GAP.search(text, at + BLOCK)
+        to = gap.start() if gap else len(text)
+        found.append(_block_hashes(text[at:to]))
+        at = to
+    return np.concatenate([*found, _block_hashes(text[at:])]) if found else _block_hashes(text)
+
+
+def _block_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words, all at once: differences of one running sum over the text, moved to a common power."""
     data = np.frombuffer(text, np.uint8)
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     edges = np.nonzero(inside[1:] != inside[:-1])[0]
@@ -131,10 +146,11 @@ def needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def signatures(found: np.ndarray, counts: np.ndarray, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+def signatures(found: np.ndarray, frequency: np.ndarray, boundary: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures, and the room of each: what a set can share if a signature holds its smallest shared elements."""
     n = len(found)
-    ranked = found[np.lexsort((found, counts[found >> np.uint64(64 - COUNT_BITS)]))]
+    # The set is sorted, so a stable sort leaves equally frequent ones in the order of their hashes.
+    ranked = found[np.argsort(frequency[found >> np.uint64(64 - COUNT_BITS)], kind="stable")]
     out, room = [found[:0]], [np.zeros(0, np.int32)]
     if n >= 2 and n < boundary:
         first = ranked[: n - needed(n) + 2]
@@ -156,8 +172,8 @@ def boundary_of(sizes: dict[int, int], scan: int = 8, most: int = 400) -> int:
     return min(range(2, most + 1), key=lambda x: (cost(x), x))
 
 
-def combined(chunks: DataFrame, kind: str, size: int) -> np.ndarray:
-    """Sum ("u4") or union ("u1") of tables that came in chunks (chunk, data), of `size` bytes.
+def combined(chunks: DataFrame, sums: bool, size: int) -> np.ndarray:
+    """A table of `size` bytes that came in chunks (chunk, data): unions of bits, or levels of sums.
 
     Chunks of one number are combined in a stream in one task; the whole, whose
     size is fixed, comes to the driver.
@@ -167,33 +183,54 @@ def combined(chunks: DataFrame, kind: str, size: int) -> np.ndarray:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(data, kind)
+                part = _unpacked(data)
                 if at not in held:
-                    held[at] = part.copy()
-                elif kind == "u1":
-                    held[at] |= part
+                    held[at] = part.astype(np.uint64 if sums else np.uint8)
+                elif sums:
+                    held[at] += part
                 else:
-                    held[at] = np.minimum(held[at].astype(np.uint64) + part, 0xFFFFFFFF).astype(np.uint32)
-        yield from _chunk_batches(held)
+                    held[at] |= part
+        yield from _chunk_batches({at: levels(part) for at, part in held.items()} if sums else held)
 
-    schema = "chunk int, data binary"
     whole = np.zeros(size, np.uint8)
-    for at, data in chunks.select("chunk", "data").repartition("chunk").mapInArrow(run, schema).collect():
-        whole[at * CHUNK : at * CHUNK + len(data)] = np.frombuffer(data, np.uint8)
-    return whole.view(kind)
+    for at, data in chunks.select("chunk", "data").repartition("chunk").mapInArrow(run, "chunk int, data binary").collect():
+        part = _unpacked(data)
+        whole[at * CHUNK : at * CHUNK + len(part)] = part
+    return whole
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Frequencies as bytes, eight steps to a doubling: all that an order by frequency asks for."""
+    return np.minimum(np.ceil(8 * np.log2(counts + 1.0)), 255).astype(np.uint8)
+
+
+def _packed(part: np.ndarray) -> bytes:
+    """The chunk compressed, in bytes if its numbers are that small; the first byte is the width."""
+    width = 1 if int(part.max(initial=0)) < 256 else 4
+    return bytes([width]) + pa.compress(part.astype(f"u{width}").tobytes(), CODEC, asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    return np.frombuffer(pa.decompress(data[1:], CHUNK * width, CODEC, asbytes=True), f"u{width}")
 
 
 def _chunk_batches(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """The chunks, a megabyte at a time."""
+    """The chunks, some at a time."""
     for part in batched(held.items(), 64):
-        at, data = [k for k, _ in part], [x.tobytes() for _, x in part]
+        at, data = [k for k, _ in part], [_packed(x) for _, x in part]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(data, pa.binary())], ["chunk", "data"])
 
 
 def _chunks(table: np.ndarray) -> dict[int, np.ndarray]:
-    flat = table.view(np.uint8)
-    parts = {at: flat[at * CHUNK : (at + 1) * CHUNK] for at in range(-(-len(flat) // CHUNK))}
-    return {at: part for at, part in parts.items() if part.any()}
+    """Chunks that aren't empty; a table holds a whole number of them."""
+    parts = enumerate(table.reshape(-1, CHUNK))
+    return {at: part for at, part in parts if part.any()}
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
 
 
 def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -229,9 +266,9 @@ def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, ddl)
 
 
-def _with_signatures(docs: DataFrame, text: str, counts: np.ndarray, boundary: int) -> DataFrame:
+def _with_signatures(docs: DataFrame, text: str, frequency: np.ndarray, boundary: int) -> DataFrame:
     """set, n, sig, room: a row for each signature of each document."""
-    held = docs.sparkSession.sparkContext.broadcast(counts)
+    held = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def start():
         table = held.value
@@ -240,7 +277,7 @@ def _with_signatures(docs: DataFrame, text: str, counts: np.ndarray, boundary: i
             sets = [shingles(t) for t in texts]
             found = [signatures(s, table, boundary) for s in sets]
             classes = [set_class(s) if len(s) else None for s in sets]
-            return classes, [len(s) for s in sets], [f[0] for f in found], [f[1] for f in found]
+            return classes, [len(s) for s in sets], _lists([f[0] for f in found]), _lists([f[1] for f in found])
 
         return work
 
@@ -262,7 +299,7 @@ def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
             np.bitwise_or.at(bits, at >> np.uint64(3), (1 << (at & np.uint64(7))).astype(np.uint8))
         yield from _chunk_batches(_chunks(bits))
 
-    bits = combined(wanted.select("seen").mapInArrow(mark, "chunk int, data binary"), "u1", 1 << FILTER_BITS - 3)
+    bits = combined(wanted.select("seen").mapInArrow(mark, "chunk int, data binary"), False, 1 << FILTER_BITS - 3)
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def start():
@@ -343,10 +380,10 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     rows = told.where("chunk is null").select(key, "n", "set")
     sketches = told.where("chunk is null and n > 0").groupBy("set")
     sketches = sketches.agg(F.any_value("n").alias("n"), F.min("seen").alias("seen"), F.any_value("sketch").alias("sketch"))
-    counts = combined(told.where("chunk is not null"), "u4", 4 << COUNT_BITS)
+    frequency = combined(told.where("chunk is not null"), True, 1 << COUNT_BITS)
     sizes = dict(rows.where("n between 1 and 600").groupBy("n").count().collect())
     boundary = boundary_of({int(n): k for n, k in sizes.items()})
-    spread = _with_signatures(docs, text, counts, boundary)
+    spread = _with_signatures(docs, text, frequency, boundary)
     by_list = Window.partitionBy("sig").orderBy("set")
     lists = spread.select(
         "sig", "set", "n", "room",
