@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle_table
-from .common import annotate, pieces, values
+from .common import annotate, pieces, small_batches, values
 from .graph import components
 
 WORDS = 5
@@ -376,6 +376,17 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     key are documents of their own. No rows give no rows. Other columns are not
     read.
     """
+    with small_batches(docs.sparkSession):
+        out = _classed(docs, key, text)
+    names = out.where("component is not null").groupBy("component").agg(F.min(key).alias("component_id"))
+    return out.join(names, "component", "left").select(
+        key, F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("component").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _classed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, n, set, component (the smallest class reachable; null for empty sets) of each document, as a written table."""
     told = settle_table(_survey(docs, key, text))
     rows = told.where("chunk is null").select(key, "n", "set")
     sketches = told.where("chunk is null and n > 0").groupBy("set")
@@ -422,9 +433,4 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     second = _linked(_possible(pairs, sketches), docs, text, sketches)
     found = components(first.unionByName(second))
     out = rows.join(found.withColumnRenamed("id", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
-    out = settle_table(out)
-    names = out.where("component is not null").groupBy("component").agg(F.min(key).alias("component_id"))
-    return out.join(names, "component", "left").select(
-        key, F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("component").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    return settle_table(out)
