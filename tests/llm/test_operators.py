@@ -267,6 +267,23 @@ def test_sketches_lose_no_link():
             assert jaccard.may_link(len(x), jaccard.sketch(x), len(y), jaccard.sketch(y))
 
 
+def test_word_hashes_block_by_block():
+    rng = random.Random(7)
+    for sep in (" ", "\n", " \t "):
+        text = sep.join(f"w{rng.randrange(5000)}" for _ in range(40_000)) + sep + "y" * 3 * jaccard.BLOCK + sep + "end"
+        whole = jaccard._block_hashes(text.encode())
+        assert len(whole) == 40_002 and (jaccard.word_hashes(text.encode()) == whole).all()
+
+
+def test_chunks_of_counts_read_back():
+    table = np.zeros(4 * jaccard.CHUNK, np.uint32)
+    table[:300], table[3 * jaccard.CHUNK] = range(300), 0xFFFFFFFF
+    sent = {at: jaccard._unpacked(jaccard._packed(part)) for at, part in jaccard._chunks(table).items()}
+    assert list(sent) == [0, 3] and all((part == table[at * jaccard.CHUNK :][: jaccard.CHUNK]).all() for at, part in sent.items())
+    steps = jaccard.levels(np.arange(2000, dtype=np.uint64))
+    assert steps[0] == 0 and (np.diff(steps.astype(int)) >= 0).all() and jaccard.levels(np.array([2**60], np.uint64))[0] == 255
+
+
 def test_components(spark):
     rng = random.Random(6)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)]
