@@ -1,163 +1,185 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's rows, in an order by hash, are cut into blocks of equal size. A
-source of weight p / q releases its i-th block at slot floor(i * q / p) and
-must have it placed before slot ceil((i + 1) * q / p); the earliest deadline
-among released blocks takes a slot. At every slot each source then has had its
-weight's share of the slots so far to within less than one block. The pattern
-of q slots repeats, so a block's slot is arithmetic and no table of all blocks
-is scheduled anywhere. When a source has run out, the weights of the others are
-shared out anew and a new phase begins; so every row has its place, once.
+Each source's rows, in an order by hash, are cut into blocks of equal size. Of
+each slot the sources that still have blocks take shares in the proportion of
+their weights, and a source leaves when its shares make up its blocks; the
+others then share its part. So the sum of a source's shares by a slot is a
+known number, without rounding. A block is released at the slot in which the
+shares reach into it and must have its place before they go beyond it; the
+earliest deadline among released blocks takes a slot. At every slot each source
+then has had the sum of its shares so far to within less than one block, and
+every row has its place, once.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle_table
 from .shards import number
 
 MAX_SOURCES = 200
+BATCH = 1 << 16
+
+
+def check_weights(weights: Mapping[str, float]) -> None:
+    if not all(0 < w < math.inf for w in weights.values()):
+        raise ValueError("weights must be above 0")
+
+
+def exact(weight: float) -> Fraction:
+    """The weight as it is written: 0.1 is a tenth."""
+    return Fraction(weight) if isinstance(weight, int | Fraction) else Fraction(repr(float(weight)))
 
 
 def whole_weights(weights: Mapping[str, float], resolution: int = 1000) -> dict[str, int]:
-    """Positive whole numbers of sum `resolution` in the weights' proportion, by largest remainders."""
+    """Whole numbers of sum `resolution` in the weights' proportion, by largest remainders; to be read, the mix has the weights."""
     if not weights:
         return {}
-    if min(weights.values()) <= 0:
-        raise ValueError("weights must be above 0")
-    if resolution < len(weights):
-        raise ValueError("the resolution must be the number of sources or more")
-    spare, total = resolution - len(weights), sum(weights.values())
-    exact = {s: w / total * spare for s, w in weights.items()}
-    parts = {s: 1 + int(x) for s, x in exact.items()}
+    check_weights(weights)
+    total = sum(map(exact, weights.values()))
+    shares = {s: exact(w) / total * resolution for s, w in weights.items()}
+    parts = {s: math.floor(x) for s, x in shares.items()}
     left = resolution - sum(parts.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:left]:
+    for s in sorted(shares, key=lambda s: (parts[s] - shares[s], s))[:left]:
         parts[s] += 1
     return parts
 
 
-def pattern(parts: Mapping[str, int]) -> list[str]:
-    """The source of each slot of one period, by earliest deadline first; equal deadlines by name."""
-    period = sum(parts.values())
-    waiting = [(0, s, 0) for s in sorted(parts)]  # release, source, block
+class Shares:
+    """Sums of the shares of sources, as exact numbers."""
+
+    def __init__(self, blocks: Mapping[str, int], weights: Mapping[str, float]):
+        ratios = {s: exact(weights[s]) for s in blocks}
+        common = math.lcm(*(r.denominator for r in ratios.values()))
+        self.weight = {s: r.numerator * (common // r.denominator) for s, r in ratios.items()}
+        # A source leaves when the turns, of one weight each, are its blocks by its weight.
+        leaving = sorted((Fraction(n, self.weight[s]), s) for s, n in blocks.items())
+        self.ends = [end for end, _ in leaving]
+        self.done, self.live = [0], [sum(self.weight.values())]
+        for _, s in leaving:
+            self.done.append(self.done[-1] + blocks[s])
+            self.live.append(self.live[-1] - self.weight[s])
+        self.at = dict.fromkeys(blocks, 0)
+
+    def slots(self, source: str, i: int) -> tuple[int, int]:
+        """The slots, as a whole number and its divisor, in which the shares of a source are i blocks; i must not fall."""
+        weight, at = self.weight[source], self.at[source]
+        if at < len(self.ends) and self.ends[at].numerator * weight <= i * self.ends[at].denominator:
+            at = self.at[source] = bisect_right(self.ends, Fraction(i, weight), at)
+        return self.done[at] * weight + i * self.live[at], weight
+
+
+def schedule(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[tuple[str, int]]:
+    """Source and block of each slot, by earliest deadline first; equal deadlines by name."""
+    blocks = {s: n for s, n in blocks.items() if n}
+    shares = Shares(blocks, weights)
+    waiting = [(0, s, 0) for s in sorted(blocks)]  # release, source, block
     ready: list[tuple[int, str, int]] = []
-    heapq.heapify(waiting)
-    slots = []
-    for slot in range(period):
+    for slot in range(sum(blocks.values())):
         while waiting and waiting[0][0] <= slot:
             _, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * period // parts[s]), s, i))
+            n, divisor = shares.slots(s, i + 1)
+            heapq.heappush(ready, (-(-n // divisor), s, i))
         _, s, i = heapq.heappop(ready)
-        slots.append(s)
-        if i + 1 < parts[s]:
-            heapq.heappush(waiting, ((i + 1) * period // parts[s], s, i + 1))
-    return slots
+        yield s, i
+        if i + 1 < blocks[s]:
+            n, divisor = shares.slots(s, i + 1)
+            heapq.heappush(waiting, (n // divisor, s, i + 1))
 
 
 @dataclass
 class Phase:
-    """Slots from `start` on, in which each live source's blocks from `first` on are placed."""
+    """Slots from `start` to the last block of a source, and the weights of those that are live, to be read."""
 
     start: int
     length: int
     parts: dict[str, int]
-    first: dict[str, int]
-    slots: dict[str, list[int]]  # of one period, by source
-    missing: int  # rows that earlier, shorter blocks lack
-
-    @property
-    def period(self) -> int:
-        return sum(self.parts.values())
 
 
 def phases(counts: Mapping[str, int], weights: Mapping[str, float], block_rows: int, resolution: int) -> list[Phase]:
     """One phase per source; each ends with the last block of a source."""
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    used, start, missing, out = dict.fromkeys(blocks, 0), 0, 0, []
-    live = {s for s, n in blocks.items() if n}
-    while live:
-        parts = whole_weights({s: weights[s] for s in live}, resolution)
-        slots: dict[str, list[int]] = {s: [] for s in parts}
-        for slot, s in enumerate(pattern(parts)):
-            slots[s].append(slot)
-        period = sum(parts.values())
-
-        def slot_of(s, k, period=period, parts=parts, slots=slots):
-            return k // parts[s] * period + slots[s][k % parts[s]]
-
-        length, ended = min((slot_of(s, blocks[s] - used[s] - 1) + 1, s) for s in live)
-        out.append(Phase(start, length, parts, {s: used[s] for s in live}, slots, missing))
-        for s in live:
-            whole, rest = divmod(length, period)
-            used[s] += whole * parts[s] + sum(x < rest for x in slots[s])
-        start += length
-        missing += blocks[ended] * block_rows - counts[ended]
-        live.remove(ended)
+    blocks = {s: -(-n // block_rows) for s, n in counts.items() if n}
+    live, start, out = set(blocks), 0, []
+    for slot, (s, i) in enumerate(schedule(blocks, weights)):
+        if i + 1 == blocks[s]:
+            out.append(Phase(start, slot + 1 - start, whole_weights({x: weights[x] for x in live}, resolution)))
+            live.remove(s)
+            start = slot + 1
     return out
 
 
+def _plan(weights: Mapping[str, float] | None, block_rows: int, temperature: float):
+    """The slot of each block and the position of its first row."""
+    least = min(weights.values(), default=1.0) if weights is not None else 1.0
+
+    def work(batches):
+        counts = {}
+        for batch in batches:
+            counts |= zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        given = {s: n**temperature if weights is None else weights.get(s, least) for s, n in counts.items()}
+        check_weights(given)
+        position, rows = 0, []
+        for slot, (s, i) in enumerate(schedule({s: -(-n // block_rows) for s, n in counts.items()}, given)):
+            rows.append((s, i, slot, position))
+            position += min(block_rows, counts[s] - i * block_rows)
+            if len(rows) == BATCH:
+                yield _batch(rows)
+                rows = []
+        if rows:
+            yield _batch(rows)
+
+    return work
+
+
+def _batch(rows: list[tuple[str, int, int, int]]) -> pa.RecordBatch:
+    source, *numbers = zip(*rows, strict=True)
+    arrays = [pa.array(source, pa.string()), *(pa.array(x, pa.int64()) for x in numbers)]
+    return pa.RecordBatch.from_arrays(arrays, ["_of", "_block", "mix_slot", "_first"])
+
+
 def mix(
     docs: DataFrame, weights: Mapping[str, float] | None = None, source: str = "source", key: str = "doc_id", text: str = "text",
-    block_rows: int = 16, resolution: int = 1000, temperature: float = 0.5,
+    block_rows: int = 16, temperature: float = 0.5,
 ) -> DataFrame:
     """Adds source_block, mix_slot and mix_position (0, 1, ..., without gaps); rows are not in order yet.
 
     weights: by source; a source without one has the least given weight. None:
     counts to the power of `temperature`, which raises small sources. A null
-    source is the source "". Repeated rows have a place each. Sources are few
-    (MAX_SOURCES); their counts, not their rows, come to the driver, and what
-    is sent back is bounded by MAX_SOURCES * resolution numbers. Other columns
+    source is the source "". Repeated rows have a place each. Sources are few (MAX_SOURCES):
+    one task holds their counts and writes a row for each block, which
+    rows are joined with; nothing comes to the driver. Other columns
     stay; columns of the new names are replaced.
     """
+    check_weights(weights or {})
     docs = docs.drop("source_block", "mix_slot", "mix_position")
     rows = docs.withColumn("_source", F.coalesce(F.col(source).cast("string"), F.lit("")))
-    counts = {r[0]: r[1] for r in rows.groupBy("_source").count().limit(MAX_SOURCES + 1).collect()}
-    if len(counts) > MAX_SOURCES:
+    counts = settle_table(rows.groupBy("_source").count())
+    if counts.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    if weights is None:
-        weights = {s: n**temperature for s, n in counts.items()}
-    least = min(weights.values(), default=1.0)
-    plan = phases(counts, {s: weights.get(s, least) for s in counts}, block_rows, resolution)
-    spark = docs.sparkSession
-    parts = spark.createDataFrame(
-        [
-            (s, n, p.start, p.period, p.parts[s], p.first[s], p.first[s] + _placed(p, s), p.missing)
-            for n, p in enumerate(plan)
-            for s in p.parts
-        ],
-        "_source string, _phase int, _start long, _period long, _parts long, _first long, _end long, _missing long",
-    )
-    slots = spark.createDataFrame(
-        [(s, n, p.slots[s]) for n, p in enumerate(plan) for s in p.parts],
-        "_source string, _phase int, _slots array<int>",
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    plan = counts.coalesce(1).mapInArrow(
+        _plan(weights, block_rows, temperature), "_of string, _block long, mix_slot long, _first long"
     )
-    # Both have one row per phase and live source: at most MAX_SOURCES ** 2, of `resolution` numbers a phase.
-    lookup = F.broadcast(parts.join(slots, ["_source", "_phase"]).withColumnRenamed("_source", "_of"))
+    plan = settle_table(plan)
     numbered = number(
-        rows, "_source", [F.col(key), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))], sum(counts.values()),
-        into="_number",
-    )
+        rows, "_source", [F.col(key), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))], total, into="_number",
+    )
     numbered = numbered.withColumn("source_block", F.floor(F.col("_number") / block_rows).cast("long"))
-    at = F.col("source_block")
-    placed = numbered.join(lookup, (F.col("_source") == F.col("_of")) & (at >= F.col("_first")) & (at < F.col("_end")))
-    turn = at - F.col("_first")
-    slot = F.col("_start") + F.floor(turn / F.col("_parts")) * F.col("_period") + F.col("_slots")[(turn % F.col("_parts")).cast("int")]
-    placed = placed.withColumn("mix_slot", slot.cast("long")).withColumn(
-        "mix_position", (F.col("mix_slot") * block_rows - F.col("_missing") + F.col("_number") % block_rows).cast("long")
-    )
+    placed = numbered.join(plan, (F.col("_source") == F.col("_of")) & (F.col("source_block") == F.col("_block")))
+    placed = placed.withColumn("mix_position", F.col("_first") + F.col("_number") % block_rows)
     return placed.select(*(c for c in docs.columns), "source_block", "mix_slot", "mix_position")
 
 
-def _placed(phase: Phase, source: str) -> int:
-    whole, rest = divmod(phase.length, phase.period)
-    return whole * phase.parts[source] + sum(x < rest for x in phase.slots[source])
-
-
 def in_order(mixed: DataFrame) -> DataFrame:
     """The rows sorted by position, so that files and rows within them follow the mix."""
     return mixed.orderBy("mix_position").drop("source_block", "mix_slot", "mix_position")

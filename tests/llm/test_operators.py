@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -329,3 +330,30 @@ def test_pipeline(spark, sf_dir):
     assert sorted(told) == [i for at, (i, _) in enumerate(good) if group[at] == at]
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.where("not restored").count() == 0 and {r[0] for r in out.select("doc_id").collect()} == set(told)
+
+
+def shares_kept(order, blocks, weights):
+    """Whether each source has had its shares to within less than a block after every slot; by fractions, slot by slot."""
+    given = {s: Fraction(repr(w)) for s, w in weights.items()}
+    due, placed = dict.fromkeys(blocks, Fraction(0)), collections.Counter()
+    for s in order:
+        placed[s] += 1
+        room = Fraction(1)
+        while room:
+            live = [x for x in blocks if due[x] < blocks[x]]
+            whole = sum(given[x] for x in live)
+            step = min(room, *((blocks[x] - due[x]) * whole / given[x] for x in live))
+            for x in live:
+                due[x] += step * given[x] / whole
+            room -= step
+        if any(abs(placed[x] - due[x]) >= 1 for x in blocks):
+            return False
+    return placed == collections.Counter(blocks)
+
+
+def test_mix_holds_the_given_weights(spark):
+    weights = {f"s{i:02}": 1 / 3 if i == 0 else 2 / 57 for i in range(20)}
+    blocks = {s: round(1000 * w) - int(s[1:]) % 3 for s, w in weights.items()}
+    rows = spark.createDataFrame([(i, "t", None, s, 1) for s, n in blocks.items() for i in range(n)], DOCS)
+    out = mixing.mix(rows, weights, block_rows=1).orderBy("mix_slot").collect()
+    assert shares_kept([r["source"] for r in out], blocks, weights)
