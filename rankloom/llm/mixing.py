@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from ..session import settle_table
 from .shards import number
 
-MAX_SOURCES = 200
 BATCH = 1 << 16
 
 
@@ -155,8 +154,8 @@ def mix(
 
     weights: by source; a source without one has the least given weight. None:
     counts to the power of `temperature`, which raises small sources. A null
-    source is the source "". Repeated rows have a place each. Sources are few (MAX_SOURCES):
-    one task holds their counts and writes a row for each block, which
+    source is the source "". Repeated rows have a place each. Any number of sources has a
+    place: one task holds their counts and writes a row for each block, which
     rows are joined with; nothing comes to the driver. Other columns
     stay; columns of the new names are replaced.
     """
@@ -164,8 +163,6 @@ def mix(
     docs = docs.drop("source_block", "mix_slot", "mix_position")
     rows = docs.withColumn("_source", F.coalesce(F.col(source).cast("string"), F.lit("")))
     counts = settle_table(rows.groupBy("_source").count())
-    if counts.count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
     total = counts.agg(F.sum("count")).first()[0] or 0
     plan = counts.coalesce(1).mapInArrow(
         _plan(weights, block_rows, temperature), "_of string, _block long, mix_slot long, _first long"

@@ -357,3 +357,11 @@ def test_mix_holds_the_given_weights(spark):
     rows = spark.createDataFrame([(i, "t", None, s, 1) for s, n in blocks.items() for i in range(n)], DOCS)
     out = mixing.mix(rows, weights, block_rows=1).orderBy("mix_slot").collect()
     assert shares_kept([r["source"] for r in out], blocks, weights)
+
+
+def test_mix_of_many_sources(spark):
+    blocks = {f"s{i}": 40 if i == 0 else 1 + i % 2 for i in range(300)}
+    rows = spark.createDataFrame([(i, "t", None, s, 1) for s, n in blocks.items() for i in range(n)], DOCS)
+    out = mixing.mix(rows, block_rows=1).orderBy("mix_slot").collect()
+    assert [r["mix_position"] for r in out] == list(range(sum(blocks.values())))
+    assert shares_kept([r["source"] for r in out], blocks, {s: n**0.5 for s, n in blocks.items()})
