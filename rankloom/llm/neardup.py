@@ -11,7 +11,11 @@ and the other one. A neighbour at the largest distance that links, r, lies
 beyond such a plane by a part of r that is about normal, of deviation
 r / sqrt(dim), for directions that are no special ones; so cells whose bounds
 of both halves go beyond z deviations hold it with probability exp(-z^2 / 2).
-A target recall of 1 takes r itself for the bound, which misses nothing.
+Neighbours do differ in special directions where the data has some. So vectors
+drawn by hash are compared with all, the bound at which the index meets each
+pair that links is counted, and the limit is widened until it holds as many of
+them as are asked for. Too few such pairs, or a target recall of 1, take r
+itself for the bound, which misses nothing.
 """
 
 from __future__ import annotations
@@ -98,6 +102,51 @@ def visited(first: np.ndarray, second: np.ndarray, within: float) -> list[tuple[
     return out
 
 
+def needed(x: np.ndarray, y: np.ndarray, books: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The limit from which on the index meets each pair of a row of x and one of y: the vector of the smaller cell visits the other's."""
+    k, half = len(books[0]), books[0].shape[1]
+    (x1, one), (x2, two) = bounds(x[:, :half], books[0]), bounds(x[:, half:], books[1])
+    (y1, three), (y2, four) = bounds(y[:, :half], books[0]), bounds(y[:, half:], books[1])
+    home, other = x1 * k + x2, y1 * k + y2
+    at = np.arange(len(x))
+    out = np.where(home < other, one[at, y1] + two[at, y2], three[at, x1] + four[at, x2])
+    return np.where(home == other, 0.0, out)
+
+
+def _measure(asked: list[tuple[int, bytes]], books: tuple[np.ndarray, np.ndarray], threshold: float, dtype: str, dim: int):
+    """Of each vector asked for, its links by the limit that they need, in STEPS of the largest."""
+
+    def work(batches):
+        ids, q = np.array([c for c, _ in asked]), units_of([raw for _, raw in asked], dtype, dim)
+        for batch in batches:
+            own, x = batch.column(0).to_numpy(), units_of(batch.column(1).to_pylist(), dtype, dim)
+            for a in range(0, len(x), 1024):
+                linked = (x[a : a + 1024] @ q.T >= threshold) & (own[a : a + 1024, None] != ids[None, :])
+                row, col = np.nonzero(linked)
+                found = np.zeros(len(row), dtype=np.int64)
+                for b in range(0, len(row), 1024):
+                    limit = needed(x[a + row[b : b + 1024]], q[col[b : b + 1024]], books)
+                    found[b : b + 1024] = np.ceil(np.minimum(limit / (2 - 2 * threshold), 1) * STEPS)
+                keys, times = np.unique(col * (STEPS + 1) + found, return_counts=True)
+                arrays = [pa.array(v, pa.int64()) for v in (keys // (STEPS + 1), keys % (STEPS + 1), times)]
+                yield pa.RecordBatch.from_arrays(arrays, ["asked", "step", "links"])
+
+    return work
+
+
+def step_for(counts: list[tuple[int, int, int]], goal: float) -> int:
+    """The least step with `goal` of all links and, each vector counting the same, of the mean vector's links."""
+    links, means, per = np.zeros(STEPS + 1), np.zeros(STEPS + 1), {}
+    for who, _, n in counts:
+        per[who] = per.get(who, 0) + n
+    for who, step, n in counts:
+        links[step] += n
+        means[step] += n / per[who]
+    # Sums of parts may be a little less than the whole.
+    reached = [np.cumsum(w) >= goal * w.sum() - 1e-9 for w in (links, means)]
+    return int(np.argmax(reached[0] & reached[1]))
+
+
 def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links between rows and columns, as (row, column)."""
     rows_left, cols_left, out = linked.any(axis=1), linked.any(axis=0), []
@@ -122,6 +171,7 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
 
 
 TARGET, OWN, GUEST = 0, 1, 2
+STEPS = 256
 
 
 def _compare(threshold: float, dtype: str):
@@ -154,6 +204,7 @@ def _compare(threshold: float, dtype: str):
 def link(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, target_recall: float = 0.99,
     sample_rows: int = 20_000, cell_rows: int = 512, target_rows: int = 512, probe_rows: int = 2048,
+    asked_rows: int = 1024,
 ) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept.
 
@@ -161,7 +212,8 @@ def link(
     null or non-finite components, and those that aren't of the commonest
     length link with nothing; each is its own component. Equal vectors are one class
     and are linked. Codebooks are fitted on sample_rows classes at most, by hash; every
-    vector is in the index. A cell of many vectors is compared in blocks of target_rows vectors and
+    vector is in the index. The recall is measured in the job, with asked_rows classes by hash against all;
+    the limit is set halfway between the target and 1, for chance. A cell of many vectors is compared in blocks of target_rows vectors and
     probe_rows visitors, each a group of its own. A null key takes part, but names a component only
     if all are null. Rows sharing a key are vectors of their own; kept is true for all rows whose key names their component.
     """
@@ -191,7 +243,17 @@ def link(
     points = seen if len(seen) else np.zeros((1, max(dim, 2)))
     books = codebook(points[:, :half], k), codebook(points[:, half:], k)
     reach = 2 - 2 * threshold
-    within = reach if target_recall >= 1 else min(reach, -2 * math.log(1 - target_recall) * reach / max(1, dim))
+    within = reach
+    if target_recall < 1 and k > 1:
+        asked = units.where("class is not null").select("class", "raw").distinct()
+        asked = asked.orderBy(F.xxhash64("class", F.lit(3)), "class").limit(asked_rows).collect()
+        told = classes.select("class", "raw").mapInArrow(
+            _measure([(r["class"], bytes(r["raw"])) for r in asked], books, threshold, dtype, dim), "asked long, step long, links long"
+        )
+        told = [tuple(r) for r in told.groupBy("asked", "step").agg(F.sum("links")).collect()]
+        if len({r[0] for r in told}) * (1 - target_recall) >= 1:
+            even = -2 * math.log(1 - target_recall) * reach / max(1, dim)
+            within = min(reach, max(even, step_for(told, (1 + target_recall) / 2) * reach / STEPS))
 
     def place(batches):
         for batch in batches:

@@ -316,6 +316,38 @@ def test_multi_index_against_brute_force(spark):
     assert neardup.link(empty).count() == 0
 
 
+def test_multi_index_of_uneven_vectors(spark):
+    rng = np.random.default_rng(8)
+    spread = 1 / np.arange(1, 65)
+    x = rng.normal(size=(1500, 64)) * spread
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    away = rng.normal(size=x.shape) * spread
+    away -= (away * x).sum(axis=1)[:, None] * x
+    away /= np.linalg.norm(away, axis=1)[:, None]
+    x = np.concatenate([x, 0.951 * x + np.sqrt(1 - 0.951**2) * away])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    # 20 centroids a half.
+    out = neardup.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), cell_rows=8).collect()
+    links = (x @ x.T >= 0.95).sum() - len(x)
+    assert 0.99 * links <= sum(r["n_links"] for r in out) <= links
+
+
+def test_limits_that_pairs_need():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 8))
+    books = neardup.codebook(x[:, :4], 6), neardup.codebook(x[:, 4:], 6)
+    y = x + 0.3 * rng.normal(size=x.shape)
+    for a, b, limit in zip(x, y, neardup.needed(x, y, books), strict=True):
+        homes, reached = [], []
+        for v in (a, b):
+            (near1, one), (near2, two) = neardup.bounds(v[None, :4], books[0]), neardup.bounds(v[None, 4:], books[1])
+            homes.append(int(near1[0]) * 6 + int(near2[0]))
+            reached.append([{i * 6 + j for i, j in neardup.visited(one[0], two[0], w)} for w in (limit + 1e-9, limit - 1e-9)])
+        low, high = sorted((0, 1), key=lambda n: homes[n])
+        assert homes[high] in reached[low][0] and (homes[low] == homes[high] or limit < 1e-9 or homes[high] not in reached[low][1])
+    assert neardup.step_for([(0, 3, 99), (0, 9, 1), (1, 5, 1)], 0.9) == 5 and neardup.step_for([(0, 3, 9), (0, 9, 1)], 0.95) == 9
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] and corpus_pipeline.ORACLE_SQL is None
