@@ -1,9 +1,10 @@
 """Quality rules: figures of the text, and lines that many documents of a host share.
 
 A line is normalised (blanks joined, ASCII letters lower-cased) and hashed.
-Lines that stand in more than `max_docs` distinct documents of a host are taken
-out of all these documents but the one of the smallest id, so that of a group
-of copies one document keeps its text. A document that is left with too little
+Lines that stand in more than a share `max_share` of the distinct documents of
+a host, and in `least_docs` at least, are taken out of all these documents but
+the one of the smallest id, so that of a group of copies one document keeps its
+text. A document that is left with too little
 is rejected.
 """
 
@@ -78,14 +79,16 @@ def failed(n_words: Column, n_repeat_words: Column) -> Column:
 
 def assess(
     docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-    max_docs: int = 100, max_lost: float = 0.6, least_words: int = 10,
+    max_docs: int | None = None, max_lost: float = 0.6, least_words: int = 10,
+    max_share: float = 0.05, least_docs: int = 4,
 ) -> DataFrame:
     """One row per document: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words_lost, base_failed, kept.
 
     Null and empty texts have no words and fail. A null host is a host like any
     other, and so is a null key one document. Rows that share a key are one
     document for the counts of lines, and each has its verdict from its own
-    text. kept: not base_failed, at most max_lost of the words lost, and
+    text. All documents of a host count, those without lines too. max_docs: a fixed limit
+    in place of the share. kept: not base_failed, at most max_lost of the words lost, and
     least_words or more left. Other columns are not read.
     """
 
@@ -100,7 +103,14 @@ def assess(
     # A struct isn't null where its field is: null hosts join, and null documents count.
     place = F.struct("host", "hash").alias("place")
     per_doc = lines.select("doc", place).select("place", F.struct("doc").alias("doc")).distinct()
-    shared = per_doc.groupBy("place").agg(F.count("*").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") > max_docs)
+    shared = per_doc.groupBy("place").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
+    if max_docs is not None:
+        shared = shared.where(F.col("docs") > max_docs)
+    else:
+        shared = shared.where(F.col("docs") >= least_docs)
+        all_docs = rows.select(F.struct(F.col(host).alias("host")).alias("at"), F.struct(F.col(key).alias("doc")).alias("doc")).distinct()
+        hosts = all_docs.groupBy("at").agg(F.count("*").alias("all_docs"))
+        shared = shared.withColumn("at", F.struct("place.host")).join(hosts, "at").where(F.col("docs") > max_share * F.col("all_docs"))
     lost = (
         lines.select("row", F.struct("doc").alias("doc"), "words", place)
         .join(shared.select("place", "first"), "place")

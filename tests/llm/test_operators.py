@@ -204,6 +204,19 @@ def test_quality_figures_and_lines(spark, odd, none):
     assert not any(r["kept"] for r in told if r["n_words"] < 10)
 
 
+def test_shared_lines_go_by_the_share_of_a_host(spark):
+    rows = []
+    for host, n in (("small", 40), ("hot", 4000), (None, 40)):
+        for i in range(n):
+            lines = [f"w{i} own line of {j} words with its {i * 7 + j} names" for j in range(4)]
+            lines += ["a line of a fifth of all"] * (i % 5 == 0) + ["a line of few"] * (i % 30 == 1)
+            rows.append((len(rows), "\n".join(lines), None, host, 1))
+        rows.append((len(rows), None, None, host, 1))
+    lost = {r["doc_id"]: r["words_lost"] for r in quality.assess(spark.createDataFrame(rows, DOCS)).collect()}
+    for start, n in ((0, 40), (41, 4000), (4042, 40)):
+        assert [lost[start + i] for i in range(n)] == [7 * (i % 5 == 0 and i > 0) for i in range(n)]
+
+
 def test_licenses(spark, odd, none):
     text = "The MIT License, mit license! Apache-License\nSPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0) OR MIT */"
     rows = spark.createDataFrame([(1, text, None, None, None), (2, "GNU General Public License", None, None, None)], DOCS)
