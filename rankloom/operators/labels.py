@@ -11,6 +11,9 @@ from ..session import settle_table
 from .lexical import LexicalIndex
 from .ordering import Desc, first_rows, join_small, row_count_within
 
+#: Characters by which parts of terms are found.
+GRAM = 3
+
 
 def parse_qrels(rows: DataFrame) -> DataFrame:
     """(row_no, query, ids) from text rows; ids is null where the list is invalid."""
@@ -161,8 +164,9 @@ def containing_documents(queries: DataFrame, docs: DataFrame, index: LexicalInde
 
     A document can only hold a passage if it has the inner tokens of it (the
     first and last may be parts of longer words). The rarest inner token leads to
-    the candidates; only their texts are compared. Passages of fewer than three
-    tokens are compared with every document.
+    the candidates; only their texts are compared. Passages of one or two tokens
+    are led by the terms that hold the longer of these, found by a join on short
+    pieces of terms. Only passages without a token are compared with every document.
     """
     words = queries.select("query_id", "text", tx.tokens("text").alias("w"))
     inner = words.where(F.size("w") > 2).select(
@@ -184,15 +188,23 @@ def containing_documents(queries: DataFrame, docs: DataFrame, index: LexicalInde
         .where(holds)
     )
     out = long.select("query_id", "model_id")
-    short = settle_table(words.where(F.size("w") <= 2).select("query_id", "text"))
-    if short.isEmpty():
+    # A document that holds a passage of one or two tokens has a term that the longer of them is a part of.
+    longer = F.when(F.length(F.col("w")[0]) >= F.length(F.element_at("w", -1)), F.col("w")[0]).otherwise(F.element_at("w", -1))
+    short = settle_table(words.where(F.size("w").between(1, 2)).select("query_id", "text", longer.alias("word")))
+    pieces = short.select("word").distinct().withColumn("gram", F.substring("word", 1, GRAM))
+    starts = F.sequence(F.lit(1), F.length("term"))
+    sizes = F.sequence(F.lit(1), F.lit(GRAM))
+    grams = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(sizes, lambda n: F.col("term").substr(i, n)))))
+    terms = index.terms.select("term", F.explode(grams).alias("gram")).join(pieces, "gram").where(F.contains("term", "word"))
+    near = settle_table(small_join(index.entries.select("term", "pos"), terms.select("term", "word"), "term").select("word", "pos").distinct())
+    body = docs.select("pos", "model_id", "body")
+    out = out.unionByName(
+        body.join(near, "pos").join(short, "word").where(holds).select("query_id", "model_id")
+    )
+    bare = settle_table(words.where(F.size("w") == 0).select("query_id", "text"))
+    if bare.isEmpty():
         return out
-    texts = short.agg(F.collect_list(F.struct("query_id", "text")).alias("all")).first()["all"]
-    asked_all = F.array(*[F.struct(F.lit(t.query_id).alias("query_id"), F.lit(t.text).alias("text")) for t in texts])
-    found = docs.select("model_id", "body", F.explode(asked_all).alias("s")).where(
-        F.contains("body", "s.text")
-    )
-    return out.unionByName(found.select("s.query_id", "model_id"))
+    return out.unionByName(body.join(bare, holds).select("query_id", "model_id"))
 
 
 def small_join(entries: DataFrame, wanted: DataFrame, on: str) -> DataFrame:

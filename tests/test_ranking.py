@@ -236,6 +236,25 @@ def test_containing_documents_equal_brute_force(spark):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_short_passages_go_by_their_terms(spark, monkeypatch):
+    from pyspark.sql import functions
+
+    from rankloom.operators.lexical import LexicalIndex
+
+    texts = ["one two three", "bone twofold", "Two, one", "on", "?!", "", "phones", "a ne tw"] * 3
+    docs = spark.createDataFrame(
+        [(i, f"m{i}", "", t) for i, t in enumerate(texts)], "pos bigint, model_id string, title string, body string"
+    )
+    asks = ["one", "one two", "e t", "ne", "n", "wo, o", "?!", "", "Two", "zebra", "one", "hones", "two three"]
+    queries = spark.createDataFrame(list(enumerate(asks)), "query_id bigint, text string")
+    index = LexicalIndex.build(docs)
+    # Nothing is collected into one value.
+    monkeypatch.setattr(functions, "collect_list", None)
+    got = lb.containing_documents(queries, docs, index).collect()
+    want = [(i, f"m{j}") for i, a in enumerate(asks) for j, t in enumerate(texts) if a in t]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_batch_and_empty_search(spark):
     batch = QueryBatch.of(spark.createDataFrame([(1, "a", -3)], "query_id bigint, text string, top_k int"))
     assert (batch.rows, batch.top_k) == (1, 0)
