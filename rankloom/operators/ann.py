@@ -22,9 +22,6 @@ from ..functions import fixed_values as fv
 from .dense import Best, Routing, as_matrix, block_scores, higher_is_better, search
 from .ordering import QueryBatch, random_rows
 
-# Training rows per centroid; more do not move the centroids.
-TRAIN_PER_CENTROID = 256
-
 
 def train_centroids(sample: DataFrame, k: int, seed: int = fv.SEED, steps: int = 10) -> np.ndarray:
     """k-means centres of array column `embedding`; at most k rows come back."""
@@ -90,16 +87,16 @@ class ListIndex:
         m: int | None = None,
         nbits: int = 8,
         centroids: np.ndarray | None = None,
+        train_rows: int | None = None,
     ) -> "ListIndex":
-        """Train on a bounded sample (unless centroids are given), assign all rows.
+        """Train on all rows, or train_rows of them (unless centroids are given), assign all rows.
 
         m > 0 also codes every residual with m sub-quantisers of 2**nbits values.
         """
         higher_is_better(metric)
         if nlist <= 0 or (m is not None and m <= 0) or nbits <= 0:
             raise ValueError("nlist, m and nbits must be positive")
-        wanted = TRAIN_PER_CENTROID * max(nlist, 2**nbits if m else 0)
-        sample = random_rows(vectors, wanted).select("embedding").cache()
+        sample = (vectors if train_rows is None else random_rows(vectors, train_rows)).select("embedding").cache()
         first = sample.first()
         if first is None:
             raise ValueError("training needs at least one vector")

@@ -46,9 +46,9 @@ def storage(vectors: DataFrame, target_dim: int) -> DataFrame:
     )
 
 
-def sample_rows(vectors: DataFrame, n: int, seed: int = fv.SEED) -> DataFrame:
-    """n rows without replacement; row_no numbers them from 0 in pos order."""
-    drawn = random_rows(vectors, n, "pos", seed).drop("place")
+def sample_rows(vectors: DataFrame, n: int | None, seed: int = fv.SEED) -> DataFrame:
+    """n rows without replacement, or all; row_no numbers them from 0 in pos order."""
+    drawn = vectors if n is None else random_rows(vectors, n, "pos", seed).drop("place")
     return number_rows(drawn, [F.col("pos")], "row_no")
 
 
@@ -202,13 +202,14 @@ def explained_variance(spark, ratios: list[float]) -> DataFrame:
 
 
 def shrink(
-    vectors: DataFrame, target_dim: int, *, dim: int, fit_rows: int = 100_000,
+    vectors: DataFrame, target_dim: int, *, dim: int, fit_rows: int | None = None,
     normalise: bool = True, seed: int = fv.SEED,
 ) -> tuple[DataFrame, Projection]:
-    """Vectors cut to target_dim principal components, fitted on a sample."""
+    """Vectors cut to target_dim principal components, fitted on fit_rows of them or on all."""
     if not 0 < target_dim < dim:
         raise ValueError(f"target_dim must lie in 1..{dim - 1}, got {target_dim}")
-    projection = Projection(random_rows(vectors, fit_rows, "pos", seed).drop("place"), target_dim)
+    fitted = vectors if fit_rows is None else random_rows(vectors, fit_rows, "pos", seed).drop("place")
+    projection = Projection(fitted, target_dim)
     out = projection.apply(vectors.select("pos", "embedding"), "reduced")
     value = vx.unit(F.col("reduced")) if normalise else F.col("reduced")
     return out.select("pos", value.cast("array<float>").alias("embedding")), projection

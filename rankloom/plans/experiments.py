@@ -234,10 +234,10 @@ def batch_latency(seconds: float, queries: int) -> float:
 
 
 def profile_vectors(
-    rows: DataFrame, *, sample_rows: int = 10_000, clusters: int = 12, n_pairs: int = 20_000,
+    rows: DataFrame, *, sample_rows: int | None = None, clusters: int = 12, n_pairs: int = 20_000,
     seed: int = fv.SEED,
 ) -> DataFrame:
-    """One row: lengths of all vectors, cosines, variance and clusters of a sample."""
+    """One row: lengths, cosines of drawn pairs, variance and clusters, of all vectors; the latter three of sample_rows where given."""
     spark = rows.sparkSession
     sample = settle_table(
         pf.sample_rows(rows, sample_rows, seed)
@@ -264,7 +264,7 @@ def profile_vectors(
 
 
 def encoder_experiment(
-    rows: DataFrame, encoders: dict[str, int], *, target_dim: int, sample_rows: int = 5_000
+    rows: DataFrame, encoders: dict[str, int], *, target_dim: int, sample_rows: int | None = None
 ) -> DataFrame:
     """Encode with each encoder, profile each result, and shrink the first one.
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import vectors as vx
 from ..operators import profile as pf
-from ..operators.ordering import random_rows
 from ..plans.experiments import profile_vectors
 from ..session import settle_table
 from ..sources import tables as tb
@@ -117,9 +116,9 @@ def storage(spark, sf_dir):
 
 @query("l1_projection")
 def projection(spark, sf_dir):
-    """First two principal components of the sample."""
-    sample = settle_table(random_rows(tb.vectors(spark, sf_dir), 10_000).drop("place"))
-    out = pf.Projection(sample, 2).apply(sample)
+    """First two principal components of all vectors."""
+    rows = settle_table(tb.vectors(spark, sf_dir))
+    out = pf.Projection(rows, 2).apply(rows)
     return out.select(
         "pos", F.get("projected", F.lit(0)).alias("pc1"), F.get("projected", F.lit(1)).alias("pc2")
     )
@@ -127,14 +126,14 @@ def projection(spark, sf_dir):
 
 @query("f12_explained_variance")
 def explained_variance(spark, sf_dir):
-    sample = settle_table(random_rows(tb.vectors(spark, sf_dir), 10_000).drop("place"))
-    return pf.explained_variance(spark, pf.Projection(sample, 50).explained)
+    rows = settle_table(tb.vectors(spark, sf_dir))
+    return pf.explained_variance(spark, pf.Projection(rows, 50).explained)
 
 
 @query("l2_clusters")
 def clusters(spark, sf_dir):
-    sample = settle_table(random_rows(tb.vectors(spark, sf_dir), 10_000).drop("place"))
-    return pf.fit_kmeans(sample, 12).groupBy("cluster").agg(F.count("*").alias("size"))
+    rows = settle_table(tb.vectors(spark, sf_dir))
+    return pf.fit_kmeans(rows, 12).groupBy("cluster").agg(F.count("*").alias("size"))
 
 
 @query("l3_shrunk_vectors")

@@ -256,3 +256,18 @@ def test_stream_resumes(spark, tmp_path):
     done = spark.read.parquet(target)
     assert done.count() == done.select("pos").distinct().count() == 10
     assert encode_new_files(spark, source, "pos bigint, text string", encode, target, progress) == 0
+
+
+def test_analysis_takes_all_vectors(spark, monkeypatch):
+    from rankloom import suite
+    from rankloom.plans.experiments import profile_vectors
+    from rankloom.sources import tables
+
+    n = 10_050
+    vecs = spark.range(n).selectExpr(
+        "id AS pos", "transform(sequence(1, 4), i -> cast(sin(id * i) as float)) AS embedding", "1 AS label"
+    )
+    monkeypatch.setattr(tables, "vectors", lambda spark, sf_dir: vecs)
+    assert suite.QUERIES["l1_projection"](spark, "").count() == n
+    assert suite.QUERIES["l2_clusters"](spark, "").agg({"size": "sum"}).first()[0] == n
+    assert profile_vectors(vecs, n_pairs=10).first().sample_size == n
