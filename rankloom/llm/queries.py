@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, licenses, mixing, neardup, pieces, quality, shards, toxicity
+from ..session import settle_table
+from . import chat, jaccard, language, licenses, mixing, neardup, pieces, quality, shards, toxicity, trie
 from .common import held_out, table
+from .sequences import numbered
 
 #: A model file of the environment; the operators take any path.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -104,3 +106,80 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "embeddings"))
+
+
+def rebuilt(rows: DataFrame) -> DataFrame:
+    """conv_id, depth, role, text: the first h turns of conversation c - c % 5, then c's own after its first h.
+
+    h is crc32 of c in decimal, modulo 9. Turns are ordered by (turn, role, text), nulls first.
+    """
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    rows = rows.where("conv_id is not null").select("conv_id", "turn", role.alias("role"), text.alias("text"))
+    placed = settle_table(numbered(rows, "conv_id", "turn", ["role", "text"]).drop("turn"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("h")
+    lengths = placed.groupBy("conv_id").agg((F.max("at") + 1).alias("n"))
+    plans = lengths.select("conv_id", h, (F.col("conv_id") - F.col("conv_id") % 5).alias("base"))
+    counts = lengths.select(F.col("conv_id").alias("base"), "n")
+    plans = plans.join(counts, "base", "left").withColumn("taken", F.least("h", F.coalesce("n", F.lit(0)))).drop("n")
+    heads = placed.where("at < 8").withColumnRenamed("conv_id", "base")
+    begun = plans.join(heads, "base").where("at < h").select("conv_id", (F.col("at") + 1).alias("depth"), "role", "text")
+    gone_on = placed.join(plans, "conv_id").where("at >= h")
+    return begun.unionByName(gone_on.select("conv_id", (F.col("taken") + F.col("at") - F.col("h") + 1).alias("depth"), "role", "text"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return trie.prefix_trie(rows, rebuilt(rows)).drop("node", "parent")
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text as DuckDB SQL, bit by bit."""
+    bits = "list_reduce(range(8), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, ch))"
+    chars = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    return f"xor(list_reduce({chars}, lambda crc, ch: {bits}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+CHECKS["op12_prefix_trie"] = f"""
+WITH placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+plans AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {crc32_sql("conv_id::VARCHAR")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM placed)),
+mixed AS (
+  SELECT p.conv_id, 0 AS own, b.place, b.role, b.text FROM plans p JOIN placed b ON b.conv_id = p.base AND b.place < p.h
+  UNION ALL
+  SELECT p.conv_id, 1, b.place, b.role, b.text FROM plans p JOIN placed b ON b.conv_id = p.conv_id AND b.place >= p.h),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth FROM mixed),
+paths AS (
+  SELECT conv_id, depth, octet_length(encode(text)) AS bytes, string_agg(length(role) || ':' || length(text) || ':' || role || text, '')
+    OVER (PARTITION BY conv_id ORDER BY depth) AS path
+  FROM numbered
+  UNION ALL SELECT conv_id, 0, 0, '' FROM plans),
+nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM paths GROUP BY ALL),
+members AS (
+  SELECT p.conv_id AS member, n.* FROM paths p JOIN nodes n USING (depth, path)),
+edges AS (
+  SELECT DISTINCT p.depth, p.path, p.conv_id AS parent_conv_id, c.path AS child
+  FROM members p JOIN members c ON c.member = p.member AND c.depth = p.depth + 1),
+leaves AS (
+  SELECT * FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.depth = n.depth AND e.path = n.path)),
+below AS (
+  SELECT DISTINCT a.depth, a.path, b.depth AS depth_below, b.path AS path_below, b.n_convs, b.bytes
+  FROM members a JOIN members b ON a.member = b.member AND b.depth >= a.depth),
+totals AS (
+  SELECT b.depth, b.path, sum((b.n_convs - 1) * b.bytes)::BIGINT AS saved_tokens, count(l.path) AS n_leaves
+  FROM below b LEFT JOIN leaves l ON l.depth = b.depth_below AND l.path = b.path_below GROUP BY 1, 2),
+ends AS (
+  SELECT depth, path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT * FROM paths QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY 1, 2),
+fanout AS (SELECT depth, path, count(*) AS n_children FROM edges GROUP BY 1, 2)
+SELECT n.conv_id, n.depth::BIGINT AS depth, e.parent_conv_id, n.n_convs, coalesce(f.n_children, 0) AS n_children,
+  t.n_leaves, t.saved_tokens, coalesce(x.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN totals t USING (depth, path) LEFT JOIN fanout f USING (depth, path) LEFT JOIN ends x USING (depth, path)
+LEFT JOIN edges e ON e.depth + 1 = n.depth AND e.child = n.path
+"""
