@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import settle_table
-from . import chat, jaccard, language, licenses, mixing, neardup, pieces, quality, shards, toxicity, trie
+from . import chat, jaccard, language, licenses, mixing, neardup, pieces, quality, repair, shards, toxicity, trie
 from .common import held_out, table
 from .sequences import numbered
 
@@ -183,3 +183,103 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, e.parent_conv_id, n.n_convs, coalesc
 FROM nodes n JOIN totals t USING (depth, path) LEFT JOIN fanout f USING (depth, path) LEFT JOIN ends x USING (depth, path)
 LEFT JOIN edges e ON e.depth + 1 = n.depth AND e.child = n.path
 """
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, within: conversations with faults, by crc32 of `conv_id:turn` (nulls one space) modulo 20.
+
+    0 drops a row, 1 empties its text, 2 removes `.`, `!` and `?`, 3 repeats it beside itself, 4 makes its role user.
+    `within` orders the rows of a turn as they were, a repeated one after the other.
+    """
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = rows.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+        (F.crc32(name.cast("binary")) % 20).alias("fault"),
+    ).where("fault != 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("copy", F.explode(copies)).select(
+        "conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.struct("role", "text", "copy").alias("within"),
+    )
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.report(rows, damaged(rows), within="within")
+
+
+def _repair_sql() -> str:
+    """The cheapest edits as a fold over a conversation's rows: of each state the least (cost, audit), with the lines so far."""
+    never = "{'c': 1099511627776::BIGINT, 'a': '', 't': []::VARCHAR[]}"
+
+    def add(state: str, cost: str, letter: str, line: str = "") -> str:
+        lines = f"list_append({state}.t, {line})" if line else f"{state}.t"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {lines}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def read(state: int) -> str:
+        ways = [add(f"v.s{state}", "3", "D")]
+        for before, role, after in ((0, "s", 1), (0, "u", 2), (1, "u", 2), (2, "a", 3), (3, "u", 2)):
+            if after == state:
+                free = "x.m IN ('.', 't')"
+                more = "CASE x.m WHEN 't' THEN 1 ELSE 0 END"
+                kept = add(f"v.s{before}", more, "K", "x.r || ':' || x.t")
+                ways.append(f"CASE WHEN {free} AND x.i = '{role}' THEN {kept} ELSE {never} END")
+                if role != "s":
+                    name = {"u": "user", "a": "assistant"}[role]
+                    changed = add(f"v.s{before}", f"2 + {more}", "R", f"'{name}:' || x.t")
+                    ways.append(f"CASE WHEN {free} THEN {changed} ELSE {never} END")
+        return least(*ways)
+
+    user, assistant = "'user:'", "'assistant:'"
+    begun = f"{{'s0': {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}, 's1': {never}, 's2': {never}, 's3': {never}}}"
+
+    def closed(states: str) -> str:
+        s2 = least("w.s2", add("w.s0", "2", "I", user), add("w.s1", "2", "I", user), add("w.s3", "2", "I", user))
+        once = f"list_transform([{states}], lambda w: {{'s0': w.s0, 's1': w.s1, 's2': {s2}, 's3': {least('w.s3', add('w.s2', '2', 'I', assistant))}}})[1]"
+        twice = f"{{'s0': y.s0, 's1': y.s1, 's2': y.s2, 's3': {least('y.s3', add('y.s2', '2', 'I', assistant))}}}"
+        return f"list_transform([{once}], lambda y: {twice})[1]"
+
+    step = "{" + ", ".join(f"'s{q}': {read(q)}" for q in range(4)) + "}"
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    role AS was, text AS had, copy
+  FROM said, unnest(CASE fault WHEN 3 THEN [0, 1] ELSE [0] END) AS copies(copy) WHERE fault <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, was, had, copy, role, text) AS place FROM damaged),
+marked AS (
+  SELECT *, CASE
+      WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+      WHEN place > min(place) OVER (PARTITION BY conv_id, role, text) THEN 'd'
+      WHEN right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) NOT IN ('.', '!', '?') THEN 't' ELSE '.' END AS mark,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY place) AS earlier
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (mark = 'b') AS blank, count(*) FILTER (mark = 'd') AS duplicate, count(*) FILTER (mark = 't') AS truncated,
+    count(*) FILTER (earlier IS NOT NULL AND left(earlier, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({{'i': left(role, 1), 'm': mark, 'r': role, 't': text}} ORDER BY place) AS rows
+  FROM marked GROUP BY conv_id),
+folded AS (
+  SELECT *, list_reduce(rows, lambda v, x: {closed(step)}, {closed(begun)}) AS v FROM counted),
+best AS (
+  SELECT *, {least("v.s0", "v.s3")} AS b FROM folded)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
+  sha256(coalesce(array_to_string(b.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN best ON c.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+
+CHECKS["op13_structure_repair"] = _repair_sql()
