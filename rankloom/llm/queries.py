@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import settle_table
-from . import chat, jaccard, language, licenses, mixing, neardup, pieces, quality, repair, shards, toxicity, trie
+from . import chat, interpolation, jaccard, language, licenses, mixing, neardup, pieces, quality, repair, shards, toxicity, trie
 from .common import held_out, table
 from .sequences import numbered
 
@@ -108,6 +108,15 @@ def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_interpolated_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(2))
+    use = F.when(part == 1, interpolation.HELD_OUT).when(part == 0, interpolation.WEIGHED).otherwise(interpolation.COUNTED)
+    out = interpolation.interpolate(docs, use)
+    return out.withColumn("held_out", F.col("use") == interpolation.HELD_OUT).drop("use")
+
+
 def rebuilt(rows: DataFrame) -> DataFrame:
     """conv_id, depth, role, text: the first h turns of conversation c - c % 5, then c's own after its first h.
 
