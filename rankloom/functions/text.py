@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fv
+from .literals import read_literal
 
 Expr = Column | str
 
@@ -123,22 +124,29 @@ def split_list(value: Expr, separator: str = ",") -> Column:
 
 
 def read_list(value: Expr) -> Column:
-    """List text ("['a', 'b']" or "a, b") as array<string>; empty words as []."""
-    text = strip(_c(value))
-    literal = F.when(
-        text.startswith("[") & text.endswith("]"), F.from_json(text, "array<string>")
-    )
-    items = F.coalesce(literal, F.split(text, ","))
+    """List text ("['a', 'b']" or "a, b") as array<string>; empty words as [].
+
+    What begins and ends in square brackets is read as a Python list; where it
+    is none, and without brackets, commas part the items.
+    """
+
+    def items(text: Column) -> Column:
+        literal = F.when(text.startswith("[") & text.endswith("]"), read_literal(text))
+        return F.coalesce(literal, F.split(text, ","))
+
     return F.when(is_empty_word(value), F.array().cast("array<string>")).otherwise(
-        _trimmed_items(F.filter(items, lambda x: x.isNotNull()))
+        _trimmed_items(let(strip(_c(value)), items))
     )
 
 
 def is_bad_list(value: Expr) -> Column:
-    """True where a bracketed literal does not parse (counted as a reject)."""
-    text = strip(_c(value))
-    bracketed = text.startswith("[") & text.endswith("]")
-    return F.coalesce(bracketed & F.from_json(text, "array<string>").isNull(), F.lit(False))
+    """True where a text that opens a bracket is no Python literal (counted as a reject)."""
+
+    def bad(text: Column) -> Column:
+        opened = F.substring(text, 1, 1).isin("[", "(", "{")
+        return F.when(opened, read_literal(text, openings="[({").isNull()).otherwise(F.lit(False))
+
+    return F.coalesce(let(strip(_c(value)), bad), F.lit(False))
 
 
 def read_tags(value: Expr) -> Column:
@@ -300,18 +308,20 @@ def task_key(value: Expr) -> Column:
 
 
 def relevant_ids(value: Expr) -> Column:
-    """Id list text (JSON or quoted list, a|b or a;b) as distinct ids in order.
+    """Id list text (JSON or Python list, a|b or a;b) as distinct ids in order.
 
-    A bracketed text that does not parse gives null.
+    A text that opens a square bracket and is neither list gives null.
     """
-    text = strip(_c(value))
-    items = (
-        F.when(text.startswith("["), F.from_json(text, "array<string>"))
-        .when(F.instr(text, "|") > 0, F.split(text, r"\|"))
-        .otherwise(F.split(text, ";"))
-    )
+
+    def items(text: Column) -> Column:
+        return (
+            F.when(text.startswith("["), read_literal(text, json=True))
+            .when(F.instr(text, "|") > 0, F.split(text, r"\|"))
+            .otherwise(F.split(text, ";"))
+        )
+
     return F.when(is_empty_word(value), F.array().cast("array<string>")).otherwise(
-        F.array_distinct(_trimmed_items(items))
+        F.array_distinct(_trimmed_items(let(strip(_c(value)), items)))
     )
 
 

@@ -84,6 +84,42 @@ def _shaped_lists(spark, sf_dir):
     return tb.raw_cards(spark, sf_dir).select("pos", value.alias("value"))
 
 
+# List literals by document: a template in Python's or JSON's notation, where L stands for the language and S for the
+# source, and the items that Python's str() gives, | between them; None where it is no Python list literal.
+LITERALS = (
+    ("['L', 'S']", "L|S"),
+    ('["L", \'S\', ]', "L|S"),
+    ("[ 'L' ,'it\\'s S' ]", "L|it's S"),
+    ('["it\'s", "L, S"]', "it's|L, S"),
+    ("['L' 'S', None, True]", "LS|None|True"),
+    ("[1, -2.50, 1_000, 1e3, 'S']", "1|-2.5|1000|1000.0|S"),
+    ("['\\x41\\u00e9\\tL', ('S', 1), [2]]", "Aé\tL|('S', 1)|[2]"),
+    ("[]", ""),
+    ("['L', 'S'", None),
+    ("['L'] S", None),
+    ("['L', , 'S']", None),
+    ("['L' : 'S']", None),
+    ('[null, "L"]', None),
+    ("['L', 'S]", None),
+)
+
+
+def _literal_sql(of: int) -> str:
+    """Per document, its template filled in (0) or its items (1)."""
+    cases = []
+    for n, pair in enumerate(LITERALS):
+        text = "NULL" if pair[of] is None else "'" + pair[of].replace("'", "''") + "'"
+        cases.append(f"WHEN {n} THEN replace(replace({text}, 'L', lang), 'S', source)")
+    return f"CASE doc_id % {len(LITERALS)} {' '.join(cases)} END"
+
+
+def _literals(spark, sf_dir):
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    templates = F.array(*[F.lit(text) for text, _ in LITERALS])
+    chosen = F.get(templates, F.pmod("doc_id", F.lit(len(LITERALS))).cast("int"))
+    return docs.select("doc_id", F.replace(F.replace(chosen, F.lit("L"), "lang"), F.lit("S"), "source").alias("value"))
+
+
 @query(
     "b4_read_list",
     f"WITH {q.CARDS} SELECT pos, CASE pos % 3 WHEN 0 THEN lang || '|' || source "
@@ -95,6 +131,15 @@ def read_list(spark, sf_dir):
     )
 
 
+@query(
+    "b4_list_literals",
+    f"""SELECT doc_id, coalesce({_literal_sql(1)}, array_to_string(
+      [trim(p) FOR p IN string_split({_literal_sql(0)}, ',') IF trim(p) <> ''], '|')) AS items FROM documents""",
+)
+def list_literals(spark, sf_dir):
+    return _literals(spark, sf_dir).select("doc_id", F.array_join(tx.read_list("value"), "|").alias("items"))
+
+
 @query(
     "b5_read_tags",
     f"WITH {q.CARDS} SELECT pos, array_to_string([trim(p) FOR p IN string_split(trim(CASE WHEN v = 'None' "
@@ -167,13 +212,14 @@ def created_day(spark, sf_dir):
 
 @query(
     "b11_list_rejects",
-    "SELECT count(*) AS cards, count(*) FILTER (doc_id % 5 = 0) AS bad_tags, 0::BIGINT AS bad_languages FROM documents",
+    f"""SELECT count(*) AS cards, count(*) FILTER (doc_id % 5 = 0) AS bad_tags,
+      count(*) FILTER (({_literal_sql(1)}) IS NULL) AS bad_languages FROM documents""",
 )
 def list_rejects(spark, sf_dir):
-    # Every fifth list misses its closing quote.
+    # Every fifth list of tags misses its closing quote; languages are literals of all kinds.
     broken = F.when(F.pmod("pos", F.lit(5)) == 0, F.regexp_replace("tags", "']$", "]"))
-    rows = tb.raw_cards(spark, sf_dir).withColumn("tags", F.coalesce(broken, "tags"))
-    return cd.list_rejects(rows)
+    rows = tb.raw_cards(spark, sf_dir).withColumn("tags", F.coalesce(broken, "tags")).drop("languages")
+    return cd.list_rejects(rows.join(_literals(spark, sf_dir).select(F.col("doc_id").alias("pos"), F.col("value").alias("languages")), "pos"))
 
 
 @query(
@@ -287,6 +333,19 @@ def relevant_ids(spark, sf_dir):
     return rows.select("conv_id", "turn", F.array_join(tx.relevant_ids(value), ",").alias("ids"))
 
 
+@query(
+    "b20_literal_ids",
+    f"""SELECT doc_id, CASE WHEN doc_id % {len(LITERALS)} = 12 THEN 'None|' || lang WHEN ({_literal_sql(1)}) IS NOT NULL THEN array_to_string(
+      list_filter(list_distinct_in_order, lambda p: p <> ''), '|') END AS ids
+    FROM (SELECT doc_id, lang, source, list_reduce(
+        list_prepend([]::VARCHAR[], [[p] FOR p IN [trim(x) FOR x IN string_split({_literal_sql(1)}, '|')]]),
+        lambda a, x: CASE WHEN list_contains(a, x[1]) THEN a ELSE list_concat(a, x) END) AS list_distinct_in_order
+      FROM documents)""",
+)
+def literal_ids(spark, sf_dir):
+    return _literals(spark, sf_dir).select("doc_id", F.array_join(tx.relevant_ids("value"), "|").alias("ids"))
+
+
 @query(
     "b22_merge_payload",
     "SELECT doc_id, md5(text) AS body_md5, lang || '|' || source AS tags, 'inner_product' AS dense_metric, "
