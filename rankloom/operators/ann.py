@@ -1,4 +1,7 @@
-"""Approximate top-k: inverted lists, product-quantised lists, random projections.
+"""Top-k from inverted lists, product-quantised lists and random projections.
+
+A list index either probes a number of lists per query, or stops exactly:
+bounds on what a list's members can score tell which lists to read.
 
 Training sees a bounded sample; assigning, coding and searching are map-only
 over the whole table. Members of a list are never gathered: a task scores the
@@ -8,8 +11,9 @@ rows it reads against the queries that probe their list.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
-from .dense import Best, Routing, as_matrix, block_scores, higher_is_better, search
-from .ordering import QueryBatch, random_rows
+from ..session import settle_table
+from .dense import SCORE_DIGITS, Routing, as_matrix, block_scores, higher_is_better, query_block, search
+from .ordering import QueryBatch, random_rows, top_per_group
 
 
 def train_centroids(sample: DataFrame, k: int, seed: int = fv.SEED, steps: int = 10) -> np.ndarray:
@@ -37,7 +42,7 @@ def nearest(vectors: np.ndarray, centroids: np.ndarray, metric: str, n: int = 1)
 
 
 def probe_routing(centroids: np.ndarray, metric: str, nprobe: int):
-    def route(queries: np.ndarray) -> Routing:
+    def route(queries: np.ndarray, least: np.ndarray | None = None) -> Routing:
         near = nearest(queries, centroids, metric, nprobe)
         lists = np.unique(near).tolist()
         return Routing([{n: np.flatnonzero((near == n).any(1)) for n in lists}])
@@ -45,6 +50,81 @@ def probe_routing(centroids: np.ndarray, metric: str, nprobe: int):
     return route
 
 
+@dataclass(frozen=True)
+class ListBounds:
+    """What the members of each list can score at most.
+
+    A member is its centroid and a rest no longer than the list's radius, and
+    no longer itself than the list's reach. By the triangle inequality its
+    distance from a query is at least that of the centroid less the radius,
+    and its inner product at most the centroid's and radius times the query's
+    length; with the lengths known, the distance bounds the product as well.
+    """
+
+    centroids: np.ndarray
+    radius: np.ndarray
+    reach: np.ndarray
+    members: np.ndarray
+    metric: str
+
+    def best(self, queries: np.ndarray) -> np.ndarray:
+        """Queries x lists: no member scores higher; -inf for empty lists."""
+        lengths = np.sqrt((queries**2).sum(1))[:, None]
+        squares = lengths**2 + (self.centroids**2).sum(1)[None, :] - 2.0 * queries @ self.centroids.T
+        away = np.maximum(np.sqrt(np.maximum(squares, 0.0)) - self.radius, 0.0)
+        if self.metric == "l2":
+            bound = -(away**2)
+        else:
+            linear = queries @ self.centroids.T + lengths * self.radius
+            bound = np.minimum(linear, (lengths**2 + self.reach**2 - away**2) / 2.0)
+        slack = 10.0**-SCORE_DIGITS + 1e-9 * (lengths + self.reach) ** 2
+        return np.where(self.members > 0, bound + slack, -np.inf)
+
+    def open_lists(self, queries: np.ndarray, least: np.ndarray | None, nprobe: int) -> np.ndarray:
+        """Queries x lists: which lists, beyond the nprobe nearest, may hold a better vector than `least`."""
+        floor = np.full(len(queries), -np.inf) if least is None else least
+        wanted = (self.best(queries) >= floor[:, None]) & (self.members > 0)
+        np.put_along_axis(wanted, nearest(queries, self.centroids, self.metric, nprobe), False, axis=1)
+        return wanted
+
+    def routing(self, nprobe: int):
+        def route(queries: np.ndarray, least: np.ndarray | None = None) -> Routing:
+            wanted = self.open_lists(queries, least, nprobe)
+            return Routing([{int(n): np.flatnonzero(wanted[:, n]) for n in np.flatnonzero(wanted.any(0))}])
+
+        return route
+
+
+def list_bounds(listed: DataFrame, centroids: np.ndarray, metric: str) -> ListBounds:
+    """Radius, reach and size of each list, from all its members in one scan.
+
+    A task returns a row per list that it met, so what reaches the driver is
+    bounded by the number of lists.
+    """
+    shared = listed.sparkSession.sparkContext.broadcast(centroids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres = shared.value
+        radius, reach, members = np.zeros(len(centres)), np.zeros(len(centres)), np.zeros(len(centres), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                numbers = as_matrix(batch.column("lists"), 1).astype(np.int64)[:, 0]
+                rows = as_matrix(batch.column("embedding"), centres.shape[1])
+                np.maximum.at(radius, numbers, np.sqrt(((rows - centres[numbers]) ** 2).sum(1)))
+                np.maximum.at(reach, numbers, np.sqrt((rows**2).sum(1)))
+                np.add.at(members, numbers, 1)
+        met = np.flatnonzero(members)
+        arrays = [pa.array(x) for x in (met, radius[met], reach[met], members[met])]
+        yield pa.RecordBatch.from_arrays(arrays, ["list_no", "radius", "reach", "members"])
+
+    met = listed.select("lists", "embedding").mapInArrow(run, "list_no bigint, radius double, reach double, members bigint")
+    rows = met.groupBy("list_no").agg(F.max("radius"), F.max("reach"), F.sum("members")).collect()
+    radius, reach, members = np.zeros(len(centroids)), np.zeros(len(centroids)), np.zeros(len(centroids), np.int64)
+    for number, a, b, n in rows:
+        radius[number], reach[number], members[number] = a, b, n
+    return ListBounds(centroids, radius, reach, members, metric)
+
+
 def assign_lists(vectors: DataFrame, centroids: np.ndarray, metric: str, keep: tuple[str, ...] = ()):
     """Add `lists`, the nearest centroid of every vector, as a one-item array."""
     shared = vectors.sparkSession.sparkContext.broadcast(centroids)
@@ -72,6 +152,14 @@ class ListIndex:
     centroids: np.ndarray
     metric: str
     codebooks: np.ndarray | None = None
+    known_bounds: ListBounds | None = None
+
+    @cached_property
+    def bounds(self) -> ListBounds | None:
+        """Counted in one scan when first asked for, and kept with a saved index; a quantised index has none."""
+        if self.known_bounds is None and self.codebooks is None:
+            return list_bounds(self.table, self.centroids, self.metric)
+        return self.known_bounds
 
     @property
     def dim(self) -> int:
@@ -129,6 +217,69 @@ class ListIndex:
             decode=decode,
         )
 
+    def search_exact(self, queries: DataFrame | QueryBatch, nprobe: int = 10) -> DataFrame:
+        """As an exact search, from the lists that may hold a result.
+
+        The nprobe nearest lists of each query give its first k scores. The k-th
+        is a floor: of the other lists only those are read whose bound reaches
+        it, so no result can be missed. A saved index is read only in these
+        lists' folders (dynamic partition pruning).
+        """
+        if self.bounds is None:
+            raise ValueError("a list index without bounds (quantised, or of an older format) can't stop exactly")
+        batch = queries if isinstance(queries, QueryBatch) else QueryBatch.of(queries)
+        near = settle_table(self.pruned(batch.df, nprobe).search(batch, nprobe))
+        # Ranks are cut to each query's own top_k; a query with fewer rows has no floor.
+        sign = 1.0 if higher_is_better(self.metric) else -1.0
+        floors = near.groupBy("query_id").agg(F.count("*").alias("_n"), F.min(F.col("score") * sign).alias("_floor"))
+        asked = batch.df.join(floors, "query_id", "left").withColumn("least", F.when(F.col("_n") >= F.col("top_k"), F.col("_floor")))
+        asked = settle_table(asked.drop("_n", "_floor"))
+        bounds = self.bounds
+        further = self._lists_of(asked, lambda matrix, least: np.flatnonzero(bounds.open_lists(matrix, least, nprobe).any(0)))
+        rest = search(
+            self._cut(further).table, QueryBatch(asked, batch.rows, batch.top_k, batch.words, batch.uniform),
+            dim=self.dim, metric=self.metric, routing=bounds.routing(nprobe),
+        )
+        both = near.drop("rank").unionByName(rest.drop("rank"))
+        score = F.col("score").desc() if higher_is_better(self.metric) else F.col("score").asc()
+        return batch.cut(top_per_group(both, ["query_id"], [score, F.col("pos").asc()], batch.top_k))
+
+    def probes(self, queries: DataFrame, nprobe: int) -> DataFrame:
+        """(query_id, list_no, place): the nprobe nearest lists of each query, nearest first, in one pass over the queries."""
+        centroids, metric, dim = self.centroids, self.metric, self.dim
+        kind = queries.schema["query_id"].dataType.simpleString()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                near = nearest(as_matrix(batch.column("embedding"), dim), centroids, metric, nprobe)
+                rows, places = np.indices(near.shape)
+                arrays = [batch.column("query_id").take(pa.array(rows.ravel())), pa.array(near.ravel().astype(np.int64)), pa.array(places.ravel())]
+                yield pa.RecordBatch.from_arrays(arrays, ["query_id", "list_no", "place"])
+
+        return queries.select("query_id", "embedding").mapInArrow(run, f"query_id {kind}, list_no bigint, place bigint")
+
+    def _lists_of(self, queries: DataFrame, choose: Callable[[np.ndarray, np.ndarray | None], np.ndarray]) -> DataFrame:
+        """list_no, queries: the lists that any query looks into; one row per list and task before the exchange."""
+        dim = self.dim
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: set[int] = set()
+            for batch in batches:
+                _, matrix, least = query_block(pa.Table.from_batches([batch]), dim)
+                found |= set(np.unique(choose(matrix, least)).tolist())
+            numbers = pa.array(sorted(found), pa.int64())
+            yield pa.RecordBatch.from_arrays([numbers, pa.array([1] * len(found), pa.int64())], ["list_no", "tasks"])
+
+        columns = ["query_id", "embedding", *[c for c in queries.columns if c == "least"]]
+        met = queries.select(*columns).mapInArrow(run, "list_no bigint, tasks bigint")
+        return settle_table(met.groupBy("list_no").agg(F.sum("tasks").alias("tasks")))
+
+    def _cut(self, lists: DataFrame) -> "ListIndex":
+        """The members of these lists; there are no more rows than lists in the index, so they are sent to the tasks."""
+        wanted = F.broadcast(lists.where("tasks > 0").select(F.col("list_no").alias("_wanted")))
+        number = F.col("list_no") if "list_no" in self.table.columns else F.get("lists", F.lit(0))
+        return replace(self, table=self.table.join(wanted, number == F.col("_wanted"), "left_semi"), known_bounds=None)
+
     def save(self, path: str, mode: str = "errorifexists") -> None:
         """Partition the table by list; a large list is split over many files."""
         spark = self.table.sparkSession
@@ -148,9 +299,12 @@ class ListIndex:
             "metric": self.metric,
             "nlist": len(self.centroids),
             "m": 0 if books is None else len(books),
+            "count": None if self.bounds is None else int(self.bounds.members.sum()),
         }
         rows = [("manifest", json.dumps(manifest)), ("centroids", json.dumps(self.centroids.tolist()))]
         rows.append(("codebooks", json.dumps(books)))
+        kept = self.bounds and {x: getattr(self.bounds, x).tolist() for x in ("radius", "reach", "members")}
+        rows.append(("bounds", json.dumps(kept)))
         spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode(mode).parquet(
             f"{path}/meta"
         )
@@ -162,23 +316,19 @@ class ListIndex:
         found = meta["manifest"]
         if (found["dim"], found["metric"]) != (dim, metric):
             raise ValueError(f"saved index is {found['dim']}/{found['metric']}, not {dim}/{metric}")
-        books = meta["codebooks"]
+        books, kept, centroids = meta["codebooks"], meta.get("bounds"), np.array(meta["centroids"])
         return cls(
             spark.read.parquet(f"{path}/table"),
-            np.array(meta["centroids"]),
+            centroids,
             metric,
             None if books is None else np.array(books),
+            kept and ListBounds(centroids, *(np.array(kept[x]) for x in ("radius", "reach", "members")), metric),
         )
 
     def pruned(self, queries: DataFrame, nprobe: int) -> "ListIndex":
-        """A saved table cut to the partitions that this query batch probes."""
-        batch = QueryBatch.of(queries)
-        if batch.rows is None or "list_no" not in self.table.columns:
-            return self
-        matrix = as_matrix(batch.df.select("embedding").toArrow().column(0), self.dim)
-        lists = np.unique(nearest(matrix, self.centroids, self.metric, nprobe)).tolist()
-        cut = self.table.where(F.col("list_no").isin(lists))
-        return ListIndex(cut, self.centroids, self.metric, self.codebooks)
+        """The lists that this query batch probes; a saved table is read only in their folders."""
+        centroids, metric = self.centroids, self.metric
+        return self._cut(self._lists_of(queries, lambda matrix, _: nearest(matrix, centroids, metric, nprobe)))
 
 
 def _train_codebooks(sample: DataFrame, centroids, metric: str, m: int, size: int) -> np.ndarray:
@@ -283,7 +433,7 @@ class ProjectionIndex:
     def search(self, queries: DataFrame | QueryBatch) -> DataFrame:
         axes, width = self.axes, self.width
 
-        def route(matrix: np.ndarray) -> Routing:
+        def route(matrix: np.ndarray, least: np.ndarray | None = None) -> Routing:
             found = buckets(matrix, axes, width)
             return Routing(
                 [

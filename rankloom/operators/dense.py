@@ -24,6 +24,9 @@ SCORE_DIGITS = 9
 BROADCAST_VALUES = 8_000_000
 GRID_QUERIES, GRID_VECTORS = 2_048, 50_000
 QUERY_CHUNK = 256
+NOWHERE = np.iinfo(np.int64).max
+# Parts that a query's rows are merged in before the last merge.
+MERGE_PARTS = 64
 
 
 def higher_is_better(metric: str) -> bool:
@@ -52,41 +55,63 @@ def block_scores(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.nd
 
 
 class Best:
-    """The k best (query, pos, score) seen so far, compared to nine digits.
+    """The k best (score, pos) of each query so far: two matrices of queries x k.
 
-    Ties go to the lower pos; repeats says that the same pair may be
-    offered more than once.
+    Scores are compared as they come, rounded by the caller; ties go to the
+    lower pos. The k-th score of a query is its threshold: a block is cut to
+    what reaches it before anything is sorted. `least` are thresholds known
+    beforehand; repeats says that the same pair may be offered more than once.
     """
 
-    def __init__(self, k: int, repeats: bool = False):
+    def __init__(self, queries: int, k: int, repeats: bool = False, least: np.ndarray | None = None):
         self.k, self.repeats = k, repeats
-        self.query = np.empty(0, np.int64)
-        self.pos = np.empty(0, np.int64)
-        self.score = np.empty(0, np.float64)
-
-    def add(
-        self, query_rows: np.ndarray, pos: np.ndarray, scores: np.ndarray, above: float = -np.inf
-    ) -> None:
-        """Offer a block of scores (queries x vectors); only those above a bound count."""
-        wanted = scores > above
+        self.score = np.full((queries, k), -np.inf)
+        self.pos = np.full((queries, k), NOWHERE)
+        self.exact = np.full((queries, k), -np.inf)
+        self.least = np.full(queries, -np.inf) if least is None else least
+
+    def add(self, query_rows: np.ndarray, pos: np.ndarray, scores: np.ndarray, exact: np.ndarray | None = None) -> None:
+        """Offer a block of scores (queries x vectors), vectors in order of pos; `exact` are those to report, if they differ."""
+        floor = np.maximum(self.score[query_rows, -1], self.least[query_rows])
+        reached = scores >= floor[:, None]
+        reached &= scores > -np.inf
+        some = np.flatnonzero(reached.any(axis=1))
+        if not len(some):
+            return
+        exact = scores if exact is None else exact
+        if len(some) < len(query_rows):
+            query_rows, scores, exact, reached = query_rows[some], scores[some], exact[some], reached[some]
+        scores = np.where(reached, scores, -np.inf)
         if scores.shape[1] > self.k:
-            rounded = np.round(scores, SCORE_DIGITS)
-            wanted &= rounded >= np.partition(rounded, -self.k, axis=1)[:, [-self.k]]
-        rows, cols = np.nonzero(wanted)
-        self._keep(query_rows[rows], pos[cols], scores[rows, cols])
-
-    def _keep(self, query, pos, score) -> None:
-        query = np.concatenate([self.query, query])
-        pos = np.concatenate([self.pos, pos])
-        score = np.concatenate([self.score, score])
+            # Exactly k of each row: all above its k-th score, and of its ties those of lowest pos.
+            kth = np.partition(scores, -self.k, axis=1)[:, [-self.k]]
+            above, ties = scores > kth, scores == kth
+            ties &= ties.cumsum(axis=1) <= self.k - above.sum(axis=1, keepdims=True)
+            columns = np.nonzero(above | ties)[1].reshape(len(some), self.k)
+            scores, exact, found = (np.take_along_axis(x, columns, axis=1) for x in (scores, exact, np.broadcast_to(pos, reached.shape)))
+        else:
+            found = np.broadcast_to(pos, scores.shape)
+        parts = [
+            np.concatenate([before[query_rows], now], axis=1)
+            for before, now in ((self.score, scores), (self.pos, np.where(scores > -np.inf, found, NOWHERE)), (self.exact, exact))
+        ]
+        parts = self._ordered(*parts)
         if self.repeats:
-            _, fresh = np.unique(np.stack([query, pos]), axis=1, return_index=True)
-            query, pos, score = query[fresh], pos[fresh], score[fresh]
-        order = np.lexsort((pos, -np.round(score, SCORE_DIGITS), query))
-        query, pos, score = query[order], pos[order], score[order]
-        starts = np.searchsorted(query, query, side="left")
-        kept = np.arange(len(query)) - starts < self.k
-        self.query, self.pos, self.score = query[kept], pos[kept], score[kept]
+            score, place, _ = parts
+            again = np.zeros(score.shape, bool)
+            again[:, 1:] = (place[:, 1:] == place[:, :-1]) & (score[:, 1:] > -np.inf)
+            parts = self._ordered(np.where(again, -np.inf, score), np.where(again, NOWHERE, place), parts[2])
+        self.score[query_rows], self.pos[query_rows], self.exact[query_rows] = (x[:, : self.k] for x in parts)
+
+    @staticmethod
+    def _ordered(score: np.ndarray, pos: np.ndarray, exact: np.ndarray) -> list[np.ndarray]:
+        order = np.lexsort((pos, -score), axis=1)
+        return [np.take_along_axis(x, order, axis=1) for x in (score, pos, exact)]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of the query, pos, exact score) of what was found."""
+        query, column = np.nonzero(self.score > -np.inf)
+        return query, self.pos[query, column], self.exact[query, column]
 
 
 @dataclass(frozen=True)
@@ -101,6 +126,8 @@ class Routing:
 
 
 Decoder = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: From a query matrix and the queries' least scores (None if not known) to the lists they look into.
+Router = Callable[[np.ndarray, np.ndarray | None], Routing]
 
 
 def _search_blocks(
@@ -110,13 +137,15 @@ def _search_blocks(
     metric: str,
     routing: Routing | None,
     decode: Decoder | None,
+    least: np.ndarray | None = None,
 ) -> Best:
-    best = Best(k, repeats=routing is not None and len(routing.probes) > 1)
+    best = Best(len(queries), k, repeats=routing is not None and len(routing.probes) > 1, least=least)
     dim = queries.shape[1]
     everyone = np.arange(len(queries))
     for batch in batches:
         if batch.num_rows == 0:
             continue
+        batch = batch.sort_by("pos")
         pos = batch.column("pos").to_numpy(zero_copy_only=False)
         lists = None
         if routing is not None:
@@ -144,8 +173,18 @@ def _search_blocks(
 
 
 def _result(best: Best, ids: pa.Array, metric: str) -> list[pa.Array]:
-    score = best.score if metric == "inner_product" else -best.score
-    return [ids.take(pa.array(best.query)), pa.array(best.pos), pa.array(score + 0.0)]
+    query, pos, score = best.rows()
+    score = score if metric == "inner_product" else -score
+    return [ids.take(pa.array(query)), pa.array(pos), pa.array(score + 0.0)]
+
+
+def query_block(table: pa.Table, dim: int) -> tuple[pa.Array, np.ndarray, np.ndarray | None]:
+    """Ids, matrix and, where the table has them, least scores of queries."""
+    least = None
+    if "least" in table.column_names:
+        least = table.column("least").to_numpy().astype(np.float64)
+        least = np.where(np.isnan(least), -np.inf, least)
+    return table.column("query_id").combine_chunks(), as_matrix(table.column("embedding"), dim), least
 
 
 def _schema(queries: DataFrame) -> str:
@@ -154,9 +193,12 @@ def _schema(queries: DataFrame) -> str:
 
 
 def _ranked(found: DataFrame, batch: QueryBatch, metric: str) -> DataFrame:
+    """Merged in two stages, so that no task meets the rows of one query from all tasks of the scan."""
     score = F.col("score").desc() if higher_is_better(metric) else F.col("score").asc()
-    best = top_per_group(found, ["query_id"], [score, F.col("pos").asc()], batch.top_k)
-    return batch.cut(best)
+    order = [score, F.col("pos").asc()]
+    part = found.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)))
+    merged = top_per_group(part, ["query_id", "_part"], order, batch.top_k).drop("_part", "rank")
+    return batch.cut(top_per_group(merged, ["query_id"], order, batch.top_k))
 
 
 def search(
@@ -165,15 +207,16 @@ def search(
     *,
     dim: int,
     metric: str = "inner_product",
-    routing: Callable[[np.ndarray], Routing] | None = None,
+    routing: Router | None = None,
     decode: Decoder | None = None,
     broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
     """(query_id, pos, score, rank) for a batch of query vectors.
 
     vectors: pos BIGINT, embedding (or lists and codes for a compressed table).
-    queries: query_id, embedding, optional top_k. Scores are inner products
-    (higher first) or squared distances (lower first).
+    queries: query_id, embedding, optional top_k and least, a score (for l2 a
+    negative squared distance) below which no vector can be a result. Scores
+    are inner products (higher first) or squared distances (lower first).
     """
     higher_is_better(metric)
     batch = queries if isinstance(queries, QueryBatch) else QueryBatch.of(queries)
@@ -181,34 +224,37 @@ def search(
     wanted += ["lists"] if routing is not None else []
     wanted += ["codes"] if decode is not None else ["embedding"]
     vectors = vectors.select(*wanted)
-    if batch.rows is None or batch.rows * dim > broadcast_values:
+    # A task holds the query matrix and two matrices of queries x k.
+    if batch.rows is None or batch.rows * max(dim, 2 * batch.top_k) > broadcast_values:
         found = _grid_search(vectors, batch, dim, metric, routing, decode)
         return _ranked(found, batch, metric)
 
-    table = batch.df.select("query_id", "embedding").orderBy("query_id").toArrow()
-    ids = table.column("query_id").combine_chunks()
-    matrix = as_matrix(table.column("embedding"), dim)
+    ids, matrix, least = query_block(_asked(batch).orderBy("query_id").toArrow(), dim)
     k = batch.top_k
-    routes = routing(matrix) if routing is not None else None
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    routes = routing(matrix, least) if routing is not None else None
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix, least))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = shared.value
+        ids, matrix, least = shared.value
         if k > 0 and len(matrix):
-            best = _search_blocks(batches, matrix, k, metric, routes, decode)
+            best = _search_blocks(batches, matrix, k, metric, routes, decode, least)
             yield pa.RecordBatch.from_arrays(_result(best, ids, metric), ["query_id", "pos", "score"])
 
     found = vectors.mapInArrow(scan, _schema(batch.df))
     return _ranked(found, batch, metric)
 
 
+def _asked(batch: QueryBatch) -> DataFrame:
+    return batch.df.select("query_id", "embedding", *[c for c in batch.df.columns if c == "least"])
+
+
 def _grid_search(vectors, batch, dim, metric, routing, decode) -> DataFrame:
     """Every (vector block, query block) cell is one bounded group.
 
     Blocks are cut by hash, so no list or label can make one large. Each cell
     returns k rows per query.
     """
-    queries = batch.df.select("query_id", "embedding")
+    queries = _asked(batch)
     n_vectors, n_queries = vectors.count(), queries.count()
     rows = max(1, -(-n_vectors // GRID_VECTORS))
     cols = max(1, -(-n_queries // GRID_QUERIES))
@@ -222,11 +268,10 @@ def _grid_search(vectors, batch, dim, metric, routing, decode) -> DataFrame:
     names = ["query_id", "pos", "score"]
 
     def cell(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
-        ids = right_rows.column("query_id").combine_chunks()
-        matrix = as_matrix(right_rows.column("embedding"), dim)
-        routes = routing(matrix) if routing is not None else None
+        ids, matrix, least = query_block(right_rows, dim)
+        routes = routing(matrix, least) if routing is not None else None
         blocks = left_rows.to_batches() if k > 0 and len(matrix) else []
-        best = _search_blocks(blocks, matrix, max(k, 1), metric, routes, decode)
+        best = _search_blocks(blocks, matrix, max(k, 1), metric, routes, decode, least)
         return pa.Table.from_arrays(_result(best, ids, metric), names)
 
     return (

@@ -280,16 +280,18 @@ class LexicalIndex:
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, *parts = shared.value
-            known, best = TermWeights(*parts), Best(k)
             if k == 0 or len(ids) == 0:
                 return
+            known, best = TermWeights(*parts), Best(len(ids), k)
+            everyone = np.arange(len(ids))
             for part in batches:
                 for pos, cells in known.blocks(part, len(ids), step, mean_length):
-                    best.add(np.arange(len(ids)), pos, cells, above=0.0)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(best.query)), pa.array(best.pos), pa.array(best.score)],
-                ["query_id", "pos", "score"],
-            )
+                    order = np.argsort(pos, kind="stable")
+                    if (order[1:] < order[:-1]).any():
+                        pos, cells = pos[order], cells[:, order]
+                    best.add(everyone, pos, np.where(cells > 0, np.round(cells, SCORE_DIGITS), -np.inf), cells)
+            query, pos, score = best.rows()
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(query)), pa.array(pos), pa.array(score)], ["query_id", "pos", "score"])
 
         kind = batch.df.schema["query_id"].dataType.simpleString()
         return self.packed.mapInArrow(scan, f"query_id {kind}, pos bigint, score double")

@@ -316,18 +316,11 @@ def given_lists(spark, sf_dir):
 def probed_list_sizes(spark, sf_dir):
     """How many vectors each query meets in each list it probes."""
     vecs = tb.vectors(spark, sf_dir)
-    centroids = _label_centroids(vecs)
-    index = ListIndex.build(vecs, centroids=centroids)
+    index = ListIndex.build(vecs, centroids=_label_centroids(vecs))
     sizes = index.table.groupBy(F.get("lists", F.lit(0)).cast("long").alias("list_no")).agg(
         F.count("*").alias("members")
     )
-    queries = tb.label_queries(vecs, 10).orderBy("query_id").select("query_id", "embedding").toArrow()
-    from ..operators.ann import nearest
-
-    near = nearest(dn.as_matrix(queries.column(1), DIM), centroids, "inner_product", NPROBE)
-    rows = [(int(i), int(n)) for i, lists in zip(queries.column(0).to_pylist(), near) for n in lists]
-    probes = spark.createDataFrame(rows, "query_id bigint, list_no bigint")
-    return probes.join(sizes, "list_no")
+    return index.probes(tb.label_queries(vecs, 10), NPROBE).drop("place").join(sizes, "list_no")
 
 
 @query(
@@ -348,12 +341,46 @@ def _recall_row(found, truth):
     )
 
 
-@query("i3_trained_lists")
+@query(
+    "i3_trained_lists",
+    f"WITH {VECTORS}, {q.MEANS}, {q.dense(10, 'v', queries='lq')} "
+    f"SELECT query_id, pos, round(score, 6) AS score, rank FROM dn",
+)
 def trained_lists(spark, sf_dir):
+    """Trained lists, read until no other can hold a result: equal to the exact search."""
     vecs = tb.vectors(spark, sf_dir)
     queries = settle_table(tb.label_queries(vecs, 10))
-    found = ListIndex.build(vecs, nlist=16).search(queries, nprobe=4)
-    return _recall_row(found, dn.search(vecs, queries, dim=DIM))
+    return scored(ListIndex.build(vecs, nlist=16).search_exact(queries, nprobe=4))
+
+
+@query(
+    "i3_trained_lists_l2",
+    f"WITH {VECTORS}, {q.MEANS}, {q.dense(10, 'v', 'l2', 'lq')} "
+    f"SELECT query_id, pos, round(score, 6) AS score, rank FROM dn",
+)
+def trained_lists_l2(spark, sf_dir):
+    vecs = tb.vectors(spark, sf_dir)
+    queries = settle_table(tb.label_queries(vecs, 10))
+    return scored(ListIndex.build(vecs, nlist=16, metric="l2").search_exact(queries, nprobe=4))
+
+
+@query(
+    "i5_saved_exact_search",
+    f"WITH {VECTORS}, n AS (SELECT pos AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM v WHERE pos % 25 = 0) "
+    f"SELECT query_id, v.pos, round(round(list_inner_product(CAST(embedding AS DOUBLE[]), qv), 9), 6) AS score, "
+    f"row_number() OVER (PARTITION BY query_id ORDER BY round(list_inner_product(CAST(embedding AS DOUBLE[]), qv), 9) DESC, v.pos) AS rank "
+    f"FROM n CROSS JOIN v QUALIFY rank <= 5",
+)
+def saved_exact_search(spark, sf_dir):
+    """Every 25th vector asked of an index that was written and opened again, each list read only where it may hold a result."""
+    import uuid
+
+    vecs = tb.vectors(spark, sf_dir)
+    path = f"{shared_dir(spark)}/lists_{uuid.uuid4().hex}"
+    ListIndex.build(vecs, nlist=16).save(path)
+    queries = vecs.where("pos % 25 = 0").select(F.col("pos").alias("query_id"), "embedding", F.lit(5).alias("top_k"))
+    index = ListIndex.load(spark, path, DIM, "inner_product")
+    return scored(index.search_exact(settle_table(queries), nprobe=2))
 
 
 @query("i3_product_quantised")

@@ -1,3 +1,5 @@
+import dataclasses
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +107,89 @@ def test_quantised_lists(spark, tmp_path):
         ListIndex.load(spark, path, 8, "inner_product")
 
 
+def clustered(rng, n, dim, centres):
+    spots = rng.normal(size=(centres, dim)) * 10
+    return spots[rng.integers(0, centres, n)] + rng.normal(size=(n, dim)) * 0.1
+
+
+@pytest.mark.parametrize("metric", ["inner_product", "l2"])
+@pytest.mark.parametrize("kind", ["clustered", "even", "copies"])
+def test_bounded_lists_are_exact(spark, tmp_path, metric, kind):
+    """Whatever the data, the search that stops by bounds equals the exact one."""
+    rng = np.random.default_rng(8)
+    matrix = clustered(rng, 400, 8, 12) if kind == "clustered" else rng.normal(size=(400, 8))
+    if kind == "copies":
+        matrix[::3] = matrix[0]
+    asked = np.concatenate([matrix[:6], rng.normal(size=(3, 8)) * 5, np.zeros((1, 8))])
+    vecs, qs = vectors(spark, matrix), queries(spark, asked, 9)
+    qs = qs.withColumn("top_k", F.when(F.col("query_id") == 2, 500).when(F.col("query_id") == 3, 0).otherwise(F.col("top_k")))
+    exact = rows(dn.search(vecs, qs, dim=8, metric=metric))
+    index = ListIndex.build(vecs, nlist=12, metric=metric)
+    assert rows(index.search_exact(qs, 2)) == exact
+    index.save(str(tmp_path / "lists"))
+    assert rows(ListIndex.load(spark, str(tmp_path / "lists"), 8, metric).search_exact(qs, 1)) == exact
+    with pytest.raises(ValueError):
+        ListIndex.build(vecs, nlist=2, m=2).search_exact(qs)
+
+
+def test_bounds_keep_lists_unread(spark, tmp_path):
+    """Clustered vectors: a saved index opens a few folders, by dynamic partition pruning."""
+    rng = np.random.default_rng(9)
+    matrix = clustered(rng, 600, 8, 12)
+    vecs, qs = vectors(spark, matrix), queries(spark, matrix[:2], 5)
+    path = str(tmp_path / "lists")
+    ListIndex.build(vecs, nlist=12, metric="l2").save(path)
+    index = ListIndex.load(spark, path, 8, "l2")
+    further = index.bounds.open_lists(matrix[:2], np.array([-0.5, -0.5]), 1)
+    assert further.sum() < 12
+    files = dataclasses.replace(index, table=index.table.select("*", F.col("_metadata.file_path").alias("file")))
+    cut = files.pruned(qs, 1).table
+    assert "dynamicpruning" in cut._jdf.queryExecution().toString()
+    assert 0 < cut.select("file").distinct().count() < files.table.select("file").distinct().count() / 2
+    assert rows(index.search_exact(qs, 1)) == rows(dn.search(vecs, qs, dim=8, metric="l2"))
+
+
+@pytest.mark.parametrize("k", [1, 4, 40])
+def test_thresholds_keep_the_best(k):
+    """Blocks of any order and size, ties and repeats."""
+    rng = np.random.default_rng(k)
+    for repeats in (False, True):
+        best, seen = dn.Best(5, k, repeats), [[] for _ in range(5)]
+        for _ in range(30):
+            n = int(rng.integers(1, 30))
+            pos = np.sort(rng.choice(60 if repeats else 10_000, n, replace=False)).astype(np.int64)
+            asked = np.sort(rng.choice(5, int(rng.integers(1, 6)), replace=False))
+            scores = (pos % 7)[None, :] * 0.5 + asked[:, None] if repeats else rng.integers(0, 9, (len(asked), n)) / 2
+            best.add(asked, pos, scores.astype(float))
+            for row, query in enumerate(asked):
+                seen[query] += [(-float(s), int(p)) for s, p in zip(scores[row], pos, strict=True)]
+        query, pos, score = best.rows()
+        for q in range(5):
+            found = [(-float(s), int(p)) for a, p, s in zip(query, pos, score, strict=True) if a == q]
+            assert found == sorted(set(seen[q]) if repeats else seen[q])[:k]
+
+
+def test_four_thousand_queries_cost_as_their_number(spark):
+    import time
+
+    rng = np.random.default_rng(4)
+    vecs = vectors(spark, rng.normal(size=(3000, 16))).cache()
+    vecs.count()
+    asked = rng.normal(size=(4000, 16))
+
+    def seconds(n):
+        qs = queries(spark, asked[:n], 10).cache()
+        qs.count()
+        best = 9e9
+        for _ in range(2):
+            started = time.perf_counter()
+            dn.search(vecs, qs, dim=16).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - started)
+        return best
+
+    assert seconds(4000) <= 5 * seconds(1000)
+
+
 def test_index_arguments(spark):
     vecs = vectors(spark, np.eye(4))
     with pytest.raises(ValueError):
