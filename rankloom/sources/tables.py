@@ -111,7 +111,7 @@ def label_queries(vecs: DataFrame, top_k: int = 10, dim: int = 64) -> DataFrame:
 
 
 def text_vector_queries(spark: SparkSession, sf_dir: str, top_k: int = 10) -> DataFrame:
-    """One query per label with both sides: a benchmark passage and the label's mean vector."""
-    means = label_queries(vectors(spark, sf_dir), top_k)
-    passages = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return means.join(passages, "query_id")
+    """Every benchmark passage as a query with both sides: its text, and the vector of its number with that vector's label."""
+    passages = passage_queries(spark, sf_dir, top_k)
+    own = vectors(spark, sf_dir).select(F.col("pos").alias("query_id"), "embedding", "label")
+    return passages.join(own, "query_id")

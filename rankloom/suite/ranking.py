@@ -1,8 +1,9 @@
 """Fusion, reranking, labels and evaluation over the whole tables.
 
-The queries here have a text and a vector: one per vector label, with the
-label's mean vector and a benchmark passage. Documents are all that have a
-vector; relevant are those of the query's label.
+The queries of the hybrid systems are all benchmark passages, each with the
+vector of its number. Texts are searched in all documents and vectors among
+all vectors; the rankings are fused by full union. Relevant are the documents whose
+vector has the label of the query's.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from ..operators import fusion as fu
 from ..operators import labels as lb
 from ..operators import rerank as rr
 from ..operators.lexical import LexicalIndex
-from ..operators.ordering import QueryBatch, number_rows
+from ..operators.ordering import QueryBatch, number_rows, small_side
 from ..plans import experiments as ex
 from ..plans import search as fl
 from ..session import settle_table
@@ -32,12 +33,16 @@ class Setting:
     """Documents, queries and both source rankings, each computed once."""
 
     def __init__(self, spark, sf_dir, k: int = K):
-        self.docs = tb.search_docs_with_vectors(spark, sf_dir)
+        self.docs = tb.search_docs(spark, sf_dir)
+        self.vectors = tb.vectors(spark, sf_dir)
         queries = settle_table(tb.text_vector_queries(spark, sf_dir, k))
-        self.batch = QueryBatch.of(queries)
+        self.batch = QueryBatch.of(queries.drop("label"))
         self.lexical = fl.lexical_retriever(LexicalIndex.build(self.docs))
-        self.dense = fl.dense_retriever(self.docs, DIM)
-        self.qrels = self.docs.select(F.col("label").cast("long").alias("query_id"), "model_id")
+        self.dense = fl.dense_retriever(self.vectors, DIM)
+        labelled = self.docs.select("pos", "model_id").join(self.vectors.select("pos", "label"), "pos")
+        # The queries are as few as the passages, so they go to the documents: no label meets in one task.
+        asked = small_side(queries.select("query_id", "label"), self.batch.rows)
+        self.qrels = labelled.join(asked, "label").select("query_id", "model_id")
 
     def rankings(self):
         lex, den = settle_table(self.lexical(self.batch)), settle_table(self.dense(self.batch))
@@ -49,10 +54,10 @@ class Setting:
 
 
 def base(k: int = K) -> str:
-    return f"{q.VECTOR_DOCS}, {q.TEXT_MEANS}, {q.bm25(k)}, {q.dense(k)}, {q.fused(k)}"
+    return f"{q.DOCS}, {q.TEXT_VECTORS}, {q.bm25(k)}, {q.dense(k, 'v')}, {q.fused(k)}"
 
 
-QRELS = "qr AS (SELECT CAST(label AS BIGINT) AS query_id, model_id FROM d)"
+QRELS = "qr AS (SELECT query_id, model_id FROM d JOIN v USING (pos) JOIN q USING (label))"
 
 
 def scored_pairs(strategy: str = "title_task_body", chars: int = fv.RERANK_TEXT_CHARS) -> str:
@@ -78,7 +83,7 @@ def rank_fusion(spark, sf_dir):
 
 @query(
     "e2_fusion_of_three",
-    f"WITH {base(20)}, l2 AS (SELECT query_id, pos, rank FROM ({q.dense(20, 'd', 'l2').strip().removeprefix('dn AS (').removesuffix(')')})), "
+    f"WITH {base(20)}, l2 AS (SELECT query_id, pos, rank FROM ({q.dense(20, 'v', 'l2').strip().removeprefix('dn AS (').removesuffix(')')})), "
     f"u AS (SELECT query_id, pos, rank AS r, 0 AS s FROM bm UNION ALL SELECT query_id, pos, rank, 1 FROM dn "
     f"UNION ALL SELECT query_id, pos, rank, 2 FROM l2) "
     f"SELECT query_id, pos, round(sum(1.0::DOUBLE / (10 + r)), 9) AS score FROM u GROUP BY ALL",
@@ -88,7 +93,7 @@ def fusion_of_three(spark, sf_dir):
     from ..operators import dense as dn
 
     s = Setting(spark, sf_dir, 20)
-    third = dn.search(s.docs, s.batch, dim=DIM, metric="l2")
+    third = dn.search(s.vectors, s.batch, dim=DIM, metric="l2")
     fused = fu.fuse([s.lexical(s.batch), s.dense(s.batch), third], k=10)
     return fused.select("query_id", "pos", F.round("score", 9).alias("score"))
 
@@ -296,10 +301,14 @@ def search_and_rank(spark, sf_dir):
 
 @query(
     "j7_payload_gaps",
-    f"WITH {base()} SELECT count(*) AS candidates, 0::BIGINT AS without_task, 0::BIGINT AS without_tags FROM hy",
+    f"WITH {base()} SELECT count(*) AS candidates, count(*) FILTER (pos % 7 = 0) AS without_task, "
+    f"count(*) FILTER (pos % 5 = 0) AS without_tags FROM hy JOIN d USING (pos)",
 )
 def payload_gaps(spark, sf_dir):
-    return rr.payload_gaps(Setting(spark, sf_dir).candidates())
+    """Every seventh document lost its task and every fifth its tags."""
+    rows = Setting(spark, sf_dir).candidates()
+    rows = rows.withColumn("pipeline_tag", F.when(F.col("pos") % 7 != 0, F.col("pipeline_tag")))
+    return rr.payload_gaps(rows.withColumn("tags", F.when(F.col("pos") % 5 != 0, F.col("tags"))))
 
 
 @query(
@@ -570,7 +579,7 @@ def grid() -> str:
         for i, (n, s, c) in enumerate(fv.ABLATION_TEXTS)
     )
     top = max(fv.ABLATION_SIZES)
-    return f"""{q.VECTOR_DOCS}, {q.TEXT_MEANS}, {QRELS}, {q.bm25(top)}, {q.dense(top)},
+    return f"""{q.DOCS}, {q.TEXT_VECTORS}, {QRELS}, {q.bm25(top)}, {q.dense(top, 'v')},
 sz AS (SELECT unnest([{sizes}]) AS candidate_k),
 bmk AS (SELECT bm.*, candidate_k FROM bm, sz WHERE rank <= candidate_k),
 dnk AS (SELECT dn.*, candidate_k FROM dn, sz WHERE rank <= candidate_k),

@@ -138,8 +138,10 @@ lq AS (
       SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
     GROUP BY label, i) GROUP BY label)"""
 
-TEXT_MEANS = MEANS + """,
-q AS (SELECT query_id, text, qv FROM lq JOIN benchmark ON item_id = query_id)"""
+# Every vector, and every passage with the vector of its number.
+TEXT_VECTORS = """
+v AS (SELECT vec_id AS pos, embedding, label FROM embeddings),
+q AS (SELECT item_id AS query_id, text, CAST(embedding AS DOUBLE[]) AS qv, label FROM benchmark JOIN v ON pos = item_id)"""
 
 
 def bm25(k: int) -> str:
