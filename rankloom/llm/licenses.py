@@ -10,7 +10,6 @@ demanding one, `with` an exception that lowers strong copyleft to weak.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -45,6 +44,8 @@ FAMILIES = {
     "python": 0, "mpl": 1, "epl": 1, "lgpl": 1, "gpl": 2, "agpl": 2,
 }
 UNKNOWN = 3
+#: Expressions that a task remembers.
+MEMO = 4096
 TAG = " spdx license identifier "
 MENTION = 0.6
 BINDING = {"or": 1, "and": 2, "with": 3}
@@ -94,24 +95,34 @@ def postfix(parts: list[str]) -> list[str] | None:
     return out + held[::-1]
 
 
-@lru_cache(maxsize=4096)
+def longest(parts: list[str]) -> int:
+    """How many parts the longest beginning has that is an expression; found in one pass, 0 if none is."""
+    operand, opened, found = False, 0, 0
+    for end, part in enumerate(parts, 1):
+        if operand == (part == "(" or part not in BINDING and part != ")") or part == ")" and not opened:
+            break
+        opened += (part == "(") - (part == ")")
+        operand = part not in BINDING and part != "("
+        if operand and not opened:
+            found = end
+    return found
+
+
 def evaluate(expression: str) -> tuple[frozenset[str], int] | None:
     """Labels and demand (0 permissive, 1 weak, 2 strong copyleft, 3 unknown) of a lower-case expression.
 
-    The longest beginning of the line that is an expression counts, as comment ends and prose may follow.
+    The longest beginning of the line that is an expression counts, as comment
+    ends and prose may follow, however long the line is.
     """
-    parts = _PART.findall(expression)[:256]
-    # Beginnings are tried from the longest; an operand or ")" must end one.
-    for end in range(len(parts), 0, -1):
-        if order := postfix(parts[:end]):
-            break
-    else:
+    parts = _PART.findall(expression)
+    order = postfix(parts[: longest(parts)])
+    if not order:
         return None
-    stack: list[tuple[frozenset[str], int, bool]] = []
+    stack: list[tuple[set[str], int, bool]] = []
     for part in order:
         if part not in BINDING:
             label, demand = family(part)
-            stack.append((frozenset([label]), demand, True))
+            stack.append(({label}, demand, True))
             continue
         right, left = stack.pop(), stack.pop()
         if part == "with":
@@ -120,8 +131,10 @@ def evaluate(expression: str) -> tuple[frozenset[str], int] | None:
             stack.append((left[0], 1 if left[1] == 2 else left[1], False))
         else:
             pick = min if part == "or" else max
-            stack.append((left[0] | right[0], pick(left[1], right[1]), False))
-    return stack[0][:2]
+            few, many = sorted((left[0], right[0]), key=len)
+            many |= few
+            stack.append((many, pick(left[1], right[1]), False))
+    return frozenset(stack[0][0]), stack[0][1]
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -141,6 +154,14 @@ def automaton() -> ahocorasick.Automaton:
 def scanner():
     """A function from a text's bytes to the fields of `scan`."""
     phrases = automaton()
+    known: dict[bytes, tuple[frozenset[str], int] | None] = {}
+
+    def valued(expression: bytes) -> tuple[frozenset[str], int] | None:
+        if expression not in known:
+            if len(known) >= MEMO:
+                known.clear()
+            known[expression] = evaluate(expression.decode("latin-1"))
+        return known[expression]
 
     def one(text: bytes | None):
         low = (text or b"").lower()
@@ -165,7 +186,7 @@ def scanner():
                     last = counted if last is None else max(last, counted)
         if tagged:
             for expression in _TAG_IN_TEXT.findall(low):
-                if got := evaluate(expression.decode("latin-1")):
+                if got := valued(expression):
                     labels |= got[0]
                     demand = got[1] if demand is None else max(demand, got[1])
                     score = 1.0
