@@ -248,7 +248,11 @@ class LexicalIndex:
             and batch.rows * batch.top_k <= BLOCK_RESULTS
         )
         scored = self._block_scores(batch) if in_blocks else self.scores(batch)
-        best = top_per_group(scored, ["query_id"], order, batch.top_k).drop("rank")
+        return self.ranked(batch, scored, top_per_group(scored, ["query_id"], order, batch.top_k).drop("rank"))
+
+    def ranked(self, batch: QueryBatch, scored: DataFrame, best: DataFrame) -> DataFrame:
+        """The best rows of each query, short lists filled up; scored: all that was scored, for what fills."""
+        order = [F.round("score", SCORE_DIGITS).desc(), F.col("pos").asc()]
         # One exchange by query serves the merge and the final ranks.
         filled = (
             best.unionByName(self._zero_rows(batch, scored))

@@ -10,6 +10,7 @@ from ..functions import text as tx
 from ..functions import vectors as vx
 from ..operators import cards as cd
 from ..operators import dense as dn
+from ..operators.blocks import BlockIndex
 from ..operators.ann import ListIndex, ProjectionIndex, recall
 from ..operators.encode import HashedTermEncoder, encode_with_model
 from ..operators.lexical import (
@@ -182,6 +183,34 @@ def saved_lexical_index(spark, sf_dir):
     return scored(index.search(tb.passage_queries(spark, sf_dir, 10)))
 
 
+def _block_index(spark, sf_dir):
+    import uuid
+
+    docs = tb.search_docs(spark, sf_dir)
+    path = f"{shared_dir(spark)}/blocks_{uuid.uuid4().hex}"
+    BlockIndex.save(docs, path)
+    return BlockIndex.load(spark, path, docs.count())
+
+
+@query(
+    "h1_bounded_blocks",
+    f"WITH {q.DOCS}, {q.PASSAGES}, {q.bm25(10)} SELECT query_id, pos, round(score, 6) AS score, rank FROM bm",
+)
+def bounded_blocks(spark, sf_dir):
+    """From a saved index, of which only blocks are read that can hold a result."""
+    return scored(_block_index(spark, sf_dir).search(tb.passage_queries(spark, sf_dir, 10)))
+
+
+@query(
+    "f11_bounded_blocks",
+    f"WITH {q.DOCS}, {q.PASSAGES}, {q.bm25(6)} SELECT query_id, pos, round(score, 6) AS score, rank FROM bm "
+    f"WHERE rank <= query_id % 7",
+)
+def bounded_blocks_own_top_k(spark, sf_dir):
+    queries = tb.passage_queries(spark, sf_dir).withColumn("top_k", F.pmod("query_id", F.lit(7)).cast("int"))
+    return scored(_block_index(spark, sf_dir).search(queries))
+
+
 @query(
     "d5_result_documents",
     f"WITH {q.DOCS}, {q.PASSAGES}, {q.bm25(10)} SELECT query_id, rank, model_id, title, pipeline_tag, "
