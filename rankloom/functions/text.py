@@ -38,6 +38,18 @@ def squeeze(value: Expr) -> Column:
     return F.trim(one_line)
 
 
+def fold_case(value: Expr) -> Column:
+    """Text of which two are equal where they differ in case alone: sharp s as ss, final sigma as any sigma.
+
+    Upper-casing undoes what lower-casing tells apart; only the dotless i, whose
+    capital is that of i, is kept aside.
+    """
+    dotless, aside = F.lit("\u0131"), F.lit("\ufdd0")
+    upper = F.upper(F.replace(F.lower(_c(value)), dotless, aside))
+    # Each letter on its own: a capital sigma at a word's end would become a final one.
+    return F.replace(F.lower(F.replace(upper, F.lit("\u03a3"), F.lit("\u03c3"))), aside, dotless)
+
+
 def is_empty_word(value: Expr) -> Column:
     return F.coalesce(F.lower(strip(value)).isin(*fv.EMPTY_WORDS), F.lit(True))
 

@@ -32,7 +32,7 @@ def qrels_problems(rows: DataFrame, known_ids: DataFrame | None = None) -> DataF
     known_ids has a column model_id.
     """
     parsed = parse_qrels(rows)
-    folded = F.lower("query")
+    folded = tx.fold_case("query")
     firsts = (
         parsed.where(F.col("query") != "")
         .groupBy(folded.alias("folded"))

@@ -28,15 +28,12 @@ def norm_stats(spark, sf_dir):
 
 
 PAIR_I, PAIR_J = q.sample_key("i0 || 'i'"), q.sample_key("i0 || 'j'")
-HALF = (
-    f"smp AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS row_no, embedding, label FROM (SELECT * FROM embeddings "
-    f"ORDER BY {q.sample_key('vec_id')}, vec_id LIMIT 10000))"
-)
+NUMBERED = "smp AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS row_no, embedding, label FROM embeddings)"
 
 
 @query(
     "e4_pair_cosines",
-    f"WITH {HALF}, n AS (SELECT count(*) AS n FROM smp), pr AS (SELECT i0 AS pair_no, "
+    f"WITH {NUMBERED}, n AS (SELECT count(*) AS n FROM smp), pr AS (SELECT i0 AS pair_no, "
     f"{PAIR_I} % n AS i, {PAIR_J} % n AS j "
     f"FROM (SELECT unnest(range(20000)) AS i0), n), "
     f"c AS (SELECT list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) / "
@@ -48,20 +45,18 @@ HALF = (
     + ", round(max(c), 6) AS max FROM c",
 )
 def pair_cosines(spark, sf_dir):
-    sample = pf.sample_rows(tb.vectors(spark, sf_dir), 10_000)
-    out = pf.cosine_distribution(pf.pair_cosines(sample, 20_000))
+    out = pf.cosine_distribution(pf.pair_cosines(pf.sample_rows(tb.vectors(spark, sf_dir), None), 20_000))
     return out.select(*[c if c == "num_pairs" else F.round(c, 6).alias(c) for c in out.columns])
 
 
 @query(
     "c6_distinct_pairs",
-    f"WITH {HALF}, n AS (SELECT count(*) AS n FROM smp), pr AS (SELECT i0 AS pair_no, "
+    f"WITH {NUMBERED}, n AS (SELECT count(*) AS n FROM smp), pr AS (SELECT i0 AS pair_no, "
     f"{PAIR_I} % n AS i, {PAIR_J} % n AS j "
     f"FROM (SELECT unnest(range(20000)) AS i0), n) SELECT pair_no, i, j FROM pr WHERE i <> j",
 )
 def distinct_pairs(spark, sf_dir):
-    sample = pf.sample_rows(tb.vectors(spark, sf_dir), 10_000)
-    return pf.pair_cosines(sample, 20_000).select("pair_no", "i", "j")
+    return pf.pair_cosines(pf.sample_rows(tb.vectors(spark, sf_dir), None), 20_000).select("pair_no", "i", "j")
 
 
 def top_sql(value: str, n: int, name: str, source: str = "cl") -> str:

@@ -173,3 +173,16 @@ def test_numbers_and_days_as_written(spark):
     df = spark.createDataFrame(rows, "n string, t string")
     got = [tuple(r) for r in df.select(tx.number_or_zero("n"), tx.day_of("t").cast("string")).collect()]
     assert got == [(0.0, "2024-01-02"), (0.0, "2024-01-02"), (0.0, None), (7.5, None), (0.0, "2024-01-02")]
+
+
+def test_fold_case_is_full_case_folding(spark):
+    """Letters are equal as Python's casefold has it, up to the blocks that later Unicode versions add to."""
+    letters = [chr(i) for i in range(1, 0x1C80) if chr(i) not in "ƛɤ"]
+    letters += ["ss", "SS", "i̇", "ΟΔΟΣ", "οδος", "οδοσ", "straße", "STRASSE", "ΟΔΟΣ ΑΣ", "οδος ας", "ﬁ", "FI", "K", "ǆ", "ǅ"]
+    df = spark.createDataFrame(list(enumerate(letters)), "i int, c string")
+    folded = {r["c"]: r["f"] for r in df.select("c", tx.fold_case("c").alias("f")).collect()}
+    ours, pythons = {}, {}
+    for c in letters:
+        ours.setdefault(folded[c], set()).add(c)
+        pythons.setdefault(c.casefold(), set()).add(c)
+    assert [ours[folded[c]] for c in letters] == [pythons[c.casefold()] for c in letters]
