@@ -10,8 +10,8 @@ from ..functions import text as tx
 from ..functions import vectors as vx
 from ..operators import cards as cd
 from ..operators import dense as dn
-from ..operators.blocks import BlockIndex
 from ..operators.ann import ListIndex, ProjectionIndex, recall
+from ..operators.blocks import BlockIndex
 from ..operators.encode import HashedTermEncoder, encode_with_model
 from ..operators.lexical import (
     LexicalIndex,
@@ -24,6 +24,7 @@ from ..operators.lexical import (
     with_idf,
 )
 from ..operators.ordering import QueryBatch
+from ..operators.segments import SegmentedIndex
 from ..plans import search as fl
 from ..session import settle_table, shared_dir
 from ..sources import tables as tb
@@ -211,6 +212,23 @@ def bounded_blocks_own_top_k(spark, sf_dir):
     return scored(_block_index(spark, sf_dir).search(queries))
 
 
+@query(
+    "a12_segmented_index",
+    f"WITH {q.DOCS}, {q.PASSAGES}, {q.bm25(10)} SELECT query_id, pos, round(score, 6) AS score, rank FROM bm",
+)
+def segmented_index(spark, sf_dir):
+    """Half of the documents indexed, a quarter added twice, the two smallest segments merged: the index of all."""
+    import uuid
+
+    docs = tb.search_docs(spark, sf_dir)
+    n = docs.count()
+    index = SegmentedIndex.create(spark, f"{shared_dir(spark)}/segments_{uuid.uuid4().hex}")
+    for low, high in ((0, n // 2), (n // 2, 3 * n // 4), (3 * n // 4, n)):
+        index = index.append(docs.where((F.col("pos") >= low) & (F.col("pos") < high)))
+    index = SegmentedIndex.open(spark, index.merge(spark).path)
+    return scored(index.index(spark).search(tb.passage_queries(spark, sf_dir, 10)))
+
+
 @query(
     "d5_result_documents",
     f"WITH {q.DOCS}, {q.PASSAGES}, {q.bm25(10)} SELECT query_id, rank, model_id, title, pipeline_tag, "
