@@ -337,16 +337,27 @@ def relevant_ids(value: Expr) -> Column:
     )
 
 
+def variant_map(fields: dict[str, Column], types: dict[str, str]) -> Column:
+    """map<string, variant> of columns of any type, named by type where Spark must know whether it is nested."""
+    pairs = []
+    for name, column in fields.items():
+        nested = types[name].startswith(("array", "map", "struct"))
+        pairs += [F.lit(name), F.to_variant_object(column) if nested else column.cast("variant")]
+    return F.create_map(*pairs)
+
+
 def merge_payload(row: Expr, defaults: Expr, extras: dict[str, str] | None = None) -> Column:
-    """map<string,string>: the row's entries win over defaults, extras over both."""
+    """map<string,string> or map<string,variant>: the row's entries win over defaults, extras over both."""
     merged = F.map_concat(
         F.map_filter(_c(defaults), lambda k, _: ~F.map_contains_key(_c(row), k)), _c(row)
     )
-    if not extras:
-        return merged
-    names = list(extras)
-    added = F.create_map(*[F.lit(x) for pair in extras.items() for x in pair])
-    return F.map_concat(F.map_filter(merged, lambda k, _: ~k.isin(*names)), added)
+    return with_extras(merged, extras) if extras else merged
+
+
+def with_extras(payload: Column, extras: dict[str, str], kind: str = "string") -> Column:
+    """The payload with further entries, which win; kind: of the payload's values."""
+    added = F.create_map(*[x for k, v in extras.items() for x in (F.lit(k), F.lit(v).cast(kind))])
+    return F.map_concat(F.map_filter(payload, lambda k, _: ~k.isin(*extras)), added)
 
 
 def columns_present(df_columns: Sequence[str], wanted: Sequence[str]) -> list[str]:

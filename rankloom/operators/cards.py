@@ -97,12 +97,15 @@ def documents(
     *,
     source: DataFrame | None = None,
     max_body_chars: int | None = None,
+    include_metadata: bool = True,
 ) -> DataFrame:
     """Search documents of artifact rows (pos, doc_id and metadata columns).
 
     Body is the first filled of body, modelCard and text; without any of them
     the texts come from `source`, matched by id. Title falls back to the model
-    id, the task to the source's.
+    id, the task to the source's. metadata (map<string, variant>) keeps the other
+    columns of the row with their types, or the task alone, which is there in
+    any case.
     """
     if max_body_chars is not None and max_body_chars <= 0:
         raise ValueError("max_body_chars must be positive")
@@ -141,6 +144,10 @@ def documents(
         tag_list = F.filter(tags[0], lambda x: x.isNotNull() & (x != ""))
     else:
         tag_list = tx.read_tags(tags[0])
+    task = tx.first_filled(*[F.col(c) for c in own_tasks], *named("pipeline_tag", "task"))
+    kept = {c: F.col(c) for c in rows.columns if c not in ("pos", "doc_id")} if include_metadata else {}
+    kept.setdefault("pipeline_tag", task)
+    types = dict(joined.select(*[c.alias(name) for name, c in kept.items()]).dtypes)
     return joined.select(
         "pos",
         "doc_id",
@@ -148,7 +155,8 @@ def documents(
         tx.first_filled(*named("title", "name"), default=model_id).alias("title"),
         body.alias("body"),
         F.coalesce(tag_list, F.array().cast("array<string>")).alias("tags"),
-        tx.first_filled(*[F.col(c) for c in own_tasks], *named("pipeline_tag", "task")).alias("pipeline_tag"),
+        task.alias("pipeline_tag"),
+        tx.variant_map(kept, types).alias("metadata"),
     )
 
 

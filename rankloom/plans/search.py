@@ -65,6 +65,27 @@ def with_payload(results: DataFrame, docs: DataFrame, batch: QueryBatch) -> Data
     return docs.join(hits, "pos").withColumn("snippet", tx.snippet("body"))
 
 
+def with_metadata(results: DataFrame, rows: DataFrame | None = None, metric: str | None = None) -> DataFrame:
+    """Looked-up results with all of their document's metadata in `metadata`, a map<string, variant>.
+
+    The document's entries, then those of `rows` (pos and a map<string, variant>
+    `row_metadata`), which win; body and tags where neither has them; and for a
+    dense search its metric and direction, which win over all.
+    """
+    merged = F.col("metadata")
+    if rows is not None:
+        results = results.join(rows.select("pos", "row_metadata"), "pos", "left")
+        none = F.create_map().cast("map<string, variant>")
+        merged = tx.merge_payload(F.coalesce("row_metadata", none), "metadata")
+    own = F.create_map(F.lit("body"), F.col("body").cast("variant"), F.lit("tags"), F.to_variant_object("tags"))
+    results = results.withColumn("metadata", merged).withColumn("metadata", tx.merge_payload("metadata", own))
+    if metric is not None:
+        better = "higher_is_better" if dense.higher_is_better(metric) else "lower_is_better"
+        extras = {"dense_metric": metric, "score_direction": better}
+        results = results.withColumn("metadata", tx.with_extras(F.col("metadata"), extras, "variant"))
+    return results.drop("row_metadata")
+
+
 def score_direction(results: DataFrame, metric: str) -> DataFrame:
     better = "higher_is_better" if dense.higher_is_better(metric) else "lower_is_better"
     return results.withColumn("dense_metric", F.lit(metric)).withColumn(

@@ -296,6 +296,46 @@ def dense_results(spark, sf_dir):
     )
 
 
+@query(
+    "i2_result_metadata",
+    f"WITH {q.VECTOR_DOCS}, {q.MEANS}, {q.dense(10, 'd', queries='lq')} SELECT query_id, rank, source AS library, n_chars AS downloads, "
+    f"'s' || quality AS task, md5(text) AS body_md5, CASE WHEN pos % 2 = 0 THEN 'own' ELSE lang END AS first_tag, "
+    f"'inner_product' AS metric, 'higher_is_better' AS direction, CASE WHEN quality IS NULL THEN 8 ELSE 9 END AS entries "
+    f"FROM dn JOIN documents ON doc_id = pos LEFT JOIN labels l ON l.doc_id = pos",
+)
+def result_metadata(spark, sf_dir):
+    """Typed metadata of artifact rows, later rows over them, merged into each result."""
+    raw = tb.table(spark, sf_dir, "documents")
+    vecs = tb.vectors(spark, sf_dir)
+    rows = raw.join(vecs.select(F.col("pos").alias("doc_id"), F.lit(1).alias("has_vector")), "doc_id").select(
+        F.col("doc_id").alias("pos"), F.concat("source", F.lit("/doc-"), "doc_id").alias("doc_id"), F.col("text").alias("modelCard"),
+        F.array("lang", "source").alias("tags"), F.col("source").alias("library_name"), F.col("n_chars").alias("downloads"),
+        F.lit("none").alias("pipeline_tag"),
+    )
+    docs = cd.documents(rows)
+    known = vecs.join(rows.select("pos"), "pos", "left_semi")
+    found = fl.find(tb.label_queries(vecs, 10), docs, fl.dense_retriever(known, DIM))
+    # Later rows: a task for labelled documents, tags for every second one.
+    labels = tb.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("pos"), "quality")
+    own = F.create_map(F.lit("tags"), F.to_variant_object(F.array(F.lit("own"))))
+    task = F.create_map(F.lit("quality"), F.col("quality").cast("variant"), F.lit("pipeline_tag"), F.concat(F.lit("s"), "quality").cast("variant"))
+    none = F.create_map().cast("map<string, variant>")
+    later = rows.select("pos").join(labels, "pos", "left").select(
+        "pos", F.map_concat(F.when(F.col("pos") % 2 == 0, own).otherwise(none), F.when(F.col("quality").isNotNull(), task).otherwise(none)).alias("row_metadata")
+    )
+    merged = fl.with_metadata(found, later, "inner_product")
+
+    def read(name: str, kind: str = "string"):
+        return F.variant_get(F.col("metadata")[name], "$", kind)
+
+    return merged.select(
+        "query_id", "rank", read("library_name").alias("library"), read("downloads", "bigint").alias("downloads"),
+        F.when(read("pipeline_tag") != "none", read("pipeline_tag")).alias("task"), F.md5(read("body")).alias("body_md5"),
+        F.variant_get(F.col("metadata")["tags"], "$[0]", "string").alias("first_tag"), read("dense_metric").alias("metric"),
+        read("score_direction").alias("direction"), F.size("metadata").alias("entries"),
+    )
+
+
 @query(
     "c3_known_positions",
     f"WITH {VECTORS}, {q.MEANS}, {q.dense(50, 'v', queries='lq')}, k AS (SELECT query_id, pos, dn.rank FROM dn "

@@ -117,7 +117,7 @@ def search_documents(spark, sf_dir):
     raw = tb.raw_cards(spark, sf_dir)
     rows = raw.select("pos", F.col("model_id").alias("doc_id"), "pipeline_tag")
     out = cd.documents(rows, source=raw.drop("pos"))
-    return out.withColumn("body_md5", F.md5("body")).withColumn("tags", F.array_join("tags", "|")).drop("body")
+    return out.withColumn("body_md5", F.md5("body")).withColumn("tags", F.array_join("tags", "|")).drop("body", "metadata")
 
 
 @query(

@@ -271,3 +271,16 @@ def test_analysis_takes_all_vectors(spark, monkeypatch):
     assert suite.QUERIES["l1_projection"](spark, "").count() == n
     assert suite.QUERIES["l2_clusters"](spark, "").agg({"size": "sum"}).first()[0] == n
     assert profile_vectors(vecs, n_pairs=10).first().sample_size == n
+
+
+def test_metadata_is_kept_with_its_types_or_cut_to_the_task(spark):
+    rows = spark.createDataFrame(
+        [(0, "m", "body", ["a", "b"], None, 7, {"x": 1.5})],
+        "pos long, doc_id string, body string, tags array<string>, task string, likes int, more map<string,double>",
+    )
+    read = "variant_get(metadata['likes'], '$', 'int') likes", "variant_get(metadata['more'], '$.x', 'double') x", "variant_get(metadata['tags'], '$[1]', 'string') tag"
+    (row,) = cd.documents(rows).selectExpr("map_keys(metadata) k", *read).collect()
+    assert sorted(row.k) == ["body", "likes", "more", "pipeline_tag", "tags", "task"] and (row.likes, row.x, row.tag) == (7, 1.5, "b")
+    slim = cd.documents(rows.withColumn("task", F.lit("video-classification")), include_metadata=False)
+    (row,) = slim.selectExpr("map_keys(metadata) k", "variant_get(metadata['pipeline_tag'], '$', 'string') t", "tags").collect()
+    assert (row.k, row.t, row.tags) == (["pipeline_tag"], "video-classification", ["a", "b"])
