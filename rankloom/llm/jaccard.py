@@ -11,10 +11,14 @@ The order is by frequency, rare first, so that passages which many documents
 share make no long lists. Frequencies are counted over all documents in a table of fixed
 size by hash; any order gives the same links.
 
-Equal sets are one class from the start. Candidates come in two rounds: first
+Equal sets are one class from the start. Candidates come in rounds of stars: first
 each class is compared with the class at the head of most of its lists; then,
-within lists, the classes that are not yet in one component are compared with
-each other. Only the second round pairs freely, and only what the first left apart.
+within lists, what is not yet in one component is compared with some members of the list's
+largest component, as long as a round halves what is apart. Only the last round pairs freely,
+and only what the stars left apart.
+
+Signatures travel packed: a task sorts those of many sets and sends each part of the
+range as one compressed block, in which a set is named once.
 
 A pair also needs room: the elements behind its smallest shared ones bound what
 it shares, so sets that agree in a common passage alone are no candidates.
@@ -33,7 +37,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle_table
@@ -47,6 +51,8 @@ FILTER_BITS = 24
 CHUNK = 1 << 14  # entries of a table that travel together
 CODEC = "lz4"
 BLOCK = 1 << 16  # bytes of a text whose words are hashed together
+ENTRIES = 1 << 21  # signatures that are sorted at once, and of a part on average
+CENTERS = 16  # members of a list's largest component that others are compared with in a round
 _GAP = re.compile(rb"[\t-\r ]")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -164,6 +170,12 @@ def signatures(found: np.ndarray, frequency: np.ndarray, boundary: int) -> tuple
     return np.concatenate(out).view(np.int64), np.concatenate(room)
 
 
+def signature_count(n: int, boundary: int) -> int:
+    """Signatures of a set of n."""
+    light = comb(n - needed(n) + 2, 2) if 2 <= n < boundary else 0
+    return light + (n - needed(n) + 1 if n >= needed(boundary) else 0)
+
+
 def boundary_of(sizes: dict[int, int], scan: int = 8, most: int = 400) -> int:
     """The least size of a heavy set, by cost: a signature costs 1 and an entry of a scanned list `scan`."""
     light = {n: k * comb(n - needed(n) + 2, 2) for n, k in sizes.items()}
@@ -228,11 +240,6 @@ def _chunks(table: np.ndarray) -> dict[int, np.ndarray]:
     return {at: part for at, part in parts if part.any()}
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
-
-
 def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, n, set, seen, sketch: per document; and, with a chunk number, the task's shingle counts."""
     fields = docs.select(key).schema[0]
@@ -266,23 +273,134 @@ def _survey(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, ddl)
 
 
-def _with_signatures(docs: DataFrame, text: str, frequency: np.ndarray, boundary: int) -> DataFrame:
-    """set, n, sig, room: a row for each signature of each document."""
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers byte by byte of their places, so that empty places compress."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def pack(sig: np.ndarray, room: np.ndarray, of: np.ndarray, classes: np.ndarray, sizes: np.ndarray) -> bytes:
+    """A block of signatures in ascending order; `of` places each one's set in classes and sizes."""
+    used, of = np.unique(of, return_inverse=True)
+    steps = np.diff(sig, prepend=np.uint64(0))
+    columns = [steps, room.astype(np.uint32), of.astype(np.uint32), classes[used].astype(np.int64), sizes[used].astype(np.uint32)]
+    body = b"".join(map(_planes, columns))
+    head = np.array([len(sig), len(used), len(body)], np.uint32).tobytes()
+    return head + pa.compress(body, "zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    """sig, set, n, room of a block, a row for each signature."""
+    rows, used, size = np.frombuffer(data[:12], np.uint32).tolist()
+    body, at, columns = pa.decompress(data[12:], size, "zstd", asbytes=True), 0, []
+    for count, kind in [(rows, np.uint64), (rows, np.uint32), (rows, np.uint32), (used, np.int64), (used, np.uint32)]:
+        to = at + count * np.dtype(kind).itemsize
+        columns.append(np.frombuffer(body[at:to], np.uint8).reshape(-1, count).T.copy().view(kind).ravel())
+        at = to
+    steps, room, of, classes, sizes = columns
+    return [np.cumsum(steps, dtype=np.uint64), classes[of], sizes[of].astype(np.int32), room.astype(np.int32)]
+
+
+def _with_signatures(docs: DataFrame, text: str, frequency: np.ndarray, boundary: int, parts: int) -> DataFrame:
+    """part, data: blocks of the signatures of all sets, each part a range of signatures; a task sends copies once a block."""
     held = docs.sparkSession.sparkContext.broadcast(frequency)
 
-    def start():
-        table = held.value
+    def blocks(waiting):
+        classes, sizes, found, rooms = (list(x) for x in zip(*waiting, strict=True))
+        of = np.repeat(np.arange(len(found)), [len(x) for x in found])
+        sig, room = np.concatenate(found).view(np.uint64), np.concatenate(rooms)
+        order = np.argsort(sig)
+        sig, room, of = sig[order], room[order], of[order]
+        part = ((sig >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        cuts = np.nonzero(np.diff(part, prepend=-1))[0]
+        classes, sizes = np.array(classes, np.int64), np.array(sizes, np.int64)
+        for some in batched(zip(cuts, [*cuts[1:], len(sig)], strict=True), 64):
+            data = [pack(sig[i:j], room[i:j], of[i:j], classes, sizes) for i, j in some]
+            at = pa.array([int(part[i]) for i, _ in some], pa.int32())
+            yield pa.RecordBatch.from_arrays([at, pa.array(data, pa.binary())], ["part", "data"])
 
-        def work(texts):
-            sets = [shingles(t) for t in texts]
-            found = [signatures(s, table, boundary) for s in sets]
-            classes = [set_class(s) if len(s) else None for s in sets]
-            return classes, [len(s) for s in sets], _lists([f[0] for f in found]), _lists([f[1] for f in found])
+    def run(batches):
+        marks, told, waiting, rows = set(), set(), [], 0
+        for batch in batches:
+            for piece in pieces(batch):
+                for value in values(piece.column(0)):
+                    mark = text_mark(value)
+                    if mark in marks:
+                        continue
+                    marks.add(mark)
+                    found = shingles(value)
+                    of = set_class(found) if len(found) else None
+                    if of is None or of in told:
+                        continue
+                    told.add(of)
+                    waiting.append((of, len(found), *signatures(found, held.value, boundary)))
+                    rows += len(waiting[-1][2])
+                    if rows >= ENTRIES:
+                        yield from blocks(waiting)
+                        marks, told, waiting, rows = set(), set(), [], 0
+        if rows:
+            yield from blocks(waiting)
 
-        return work
+    return docs.select(text).mapInArrow(run, "part int, data binary")
+
+
+def listed(held: list[np.ndarray], entries: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Heads of lists (sig, set, n, room; by sig) with those of new lists, and entries beside the heads of their lists.
+
+    An entry that is its list's head, or stands twice, is left out.
+    """
+    order = np.lexsort((entries[1], entries[0]))
+    entries = [x[order] for x in entries]
+    new = np.ones(len(order), bool)
+    new[1:] = entries[0][1:] != entries[0][:-1]
+    once = new.copy()
+    once[1:] |= entries[1][1:] != entries[1][:-1]
+    firsts = [x[new] for x in entries]
+    at = np.searchsorted(held[0], firsts[0])
+    known = np.zeros(len(at), bool)
+    inside = at < len(held[0])
+    known[inside] = held[0][at[inside]] == firsts[0][inside]
+    for old, first in zip(held, firsts, strict=True):
+        first[known] = old[at[known]]
+    of = np.cumsum(new) - 1
+    beside = once & (entries[1] != firsts[1][of])
+    rows = [x[beside] for x in entries] + [x[of[beside]] for x in firsts[1:]]
+    # All of firsts that were known are held already.
+    held = [np.concatenate([old, first[~known]]) for old, first in zip(held, firsts, strict=True)]
+    order = np.argsort(held[0], kind="stable")
+    return [x[order] for x in held], rows
+
+
+def _lists_of(blocks: DataFrame, parts: int) -> DataFrame:
+    """sig, set, n, room, head (set, n, room): members of lists of two sets or more beside the first member.
+
+    A task streams the blocks of its parts and holds one entry a signature, so a
+    list's length doesn't matter.
+    """
+
+    def run(batches):
+        kinds = (np.uint64, np.int64, np.int32, np.int32)
+        held, waiting, rows = [np.zeros(0, k) for k in kinds], [], 0
+
+        def step():
+            nonlocal held
+            held, out = listed(held, [np.concatenate(x) for x in zip(*waiting, strict=True)])
+            for at in range(0, len(out[0]), 1 << 16):
+                sig, *rest = (x[at : at + (1 << 16)] for x in out)
+                own, head = rest[:3], pa.StructArray.from_arrays([pa.array(x) for x in rest[3:]], ["set", "n", "room"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, [sig.view(np.int64), *own]), head], ["sig", "set", "n", "room", "head"])
+
+        for batch in batches:
+            for data in batch.column(1).to_pylist():
+                waiting.append(unpack(data))
+                rows += len(waiting[-1][0])
+                if rows >= ENTRIES:
+                    yield from step()
+                    waiting, rows = [], 0
+        if rows:
+            yield from step()
 
-    rows = annotate(docs.select(text), [text], "`set` long, n int, sig array<long>, room array<int>", start, keep=[])
-    return rows.select("set", "n", F.inline(F.arrays_zip("sig", "room")))
+    ddl = "sig long, `set` long, n int, room int, head struct<`set`: long, n: int, room: int>"
+    return blocks.repartition(parts, "part").mapInArrow(run, ddl)
 
 
 def _sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -349,10 +467,35 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, sketches: DataFrame) -
     )
 
 
-def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of lists with their components so far."""
-    rows = members.join(found.withColumnRenamed("id", "set"), "set", "left")
-    return rows.withColumn("component", F.coalesce("component", "set"))
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """sig, set, n, room, component of the lists whose members are not yet in one component, as a written table."""
+    placed = members.drop("component").join(found.withColumnRenamed("id", "set"), "set", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "set"))
+    whole = placed.groupBy("sig").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.count("*").alias("k"), F.sum(F.xxhash64("set", "n", "room").cast("decimal(38,0)")).alias("who"),
+    )
+    # Lists of the same members with the same room say the same: one of them does.
+    chosen = whole.where("lo != hi").groupBy("k", "who").agg(F.min("sig").alias("sig"))
+    return settle_table(placed.join(chosen.select("sig"), "sig", "left_semi"))
+
+
+def _stars(lists: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) to compare: classes with CENTERS members at most of the component that has most of their list.
+
+    Centers are those with most room; per component on the other side and slot of centers one pair is kept, that of most lists.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(CENTERS))
+    of = lists.groupBy("sig", "component", slot("set").alias("slot"))
+    of = of.agg(F.count("*").alias("k"), F.max(F.struct("room", "n", "set")).alias("center"))
+    of = of.groupBy("sig", "component").agg(F.sum("k").alias("k"), F.collect_list("center").alias("centers"))
+    to = of.groupBy("sig").agg(F.max_by(F.struct("component", "centers"), F.struct("k", "component")).alias("to"))
+    rows = lists.join(to, "sig").where("component != to.component")
+    rows = rows.select("set", "n", "room", "component", F.explode("to.centers").alias("to"))
+    rows = rows.where(roomy("n", "to.n", "room", "to.room"))
+    pairs = rows.groupBy(F.col("to.set").alias("a"), F.col("set").alias("b"), "component").agg(F.count("*").alias("k"))
+    pairs = _possible(pairs, sketches).groupBy("component", slot("a").alias("slot"))
+    return pairs.agg(F.max_by(F.struct("a", "b"), F.struct("k", "a", "b")).alias("p")).select("p.*")
 
 
 def similar(n: str, m: str) -> str:
@@ -392,42 +535,31 @@ def _classed(docs: DataFrame, key: str, text: str) -> DataFrame:
     sketches = told.where("chunk is null and n > 0").groupBy("set")
     sketches = sketches.agg(F.any_value("n").alias("n"), F.min("seen").alias("seen"), F.any_value("sketch").alias("sketch"))
     frequency = combined(told.where("chunk is not null"), True, 1 << COUNT_BITS)
-    sizes = dict(rows.where("n between 1 and 600").groupBy("n").count().collect())
-    boundary = boundary_of({int(n): k for n, k in sizes.items()})
-    spread = _with_signatures(docs, text, frequency, boundary)
-    by_list = Window.partitionBy("sig").orderBy("set")
-    lists = spread.select(
-        "sig", "set", "n", "room",
-        F.first(F.struct("set", "n", "room")).over(by_list.rowsBetween(Window.unboundedPreceding, 0)).alias("head"),
-        F.lag("set").over(by_list).alias("last"),
-    )
-    # Members behind the head, copies of a class once.
-    lists = settle_table(lists.where("head.set != set and last != set").drop("last"))
+    sizes = rows.where("n > 0").groupBy(F.expr("if(n <= 600, n, 0)").alias("size")).agg(F.count("*"), F.sum("n")).collect()
+    sizes = {int(n): (k, total) for n, k, total in sizes}
+    above = sum(sizes.pop(0, (0, 0)))  # more than the signatures of all larger sets
+    sizes = {n: k for n, (k, _) in sizes.items()}
+    boundary = boundary_of(sizes)
+    parts = 1 + (above + sum(k * signature_count(n, boundary) for n, k in sizes.items())) // ENTRIES
+    lists = settle_table(_lists_of(_with_signatures(docs, text, frequency, boundary, parts), parts))
     heads = lists.where(roomy("n", "head.n", "room", "head.room")).select(F.col("head.set").alias("a"), F.col("set").alias("b"))
     heads = heads.groupBy("a", "b").agg(F.count("*").alias("k"))
     heads = _possible(heads, sketches).groupBy("b").agg(F.max_by("a", F.struct("k", "a")).alias("a"))
     first = settle_table(_linked(heads, docs, text, sketches))
     found = components(first)
-    # What the first round left apart, list by list: each component with a member of the smallest component of its lists.
-    members = settle_table(lists.select("sig", "set", "n", "room").unionByName(lists.select("sig", "head.*").distinct()))
-    placed = _placed(members, found)
-    least = placed.groupBy("sig").agg(F.min(F.struct("component", "set", "n", "room")).alias("to"), F.max("component").alias("hi"))
-    heads = placed.join(least.where("to.component != hi").drop("hi"), "sig")
-    heads = heads.where(f"component != to.component and {roomy('n', 'to.n', 'room', 'to.room')}")
-    heads = heads.groupBy(F.col("to.set").alias("a"), F.col("set").alias("b"), "component").agg(F.count("*").alias("k"))
-    heads = _possible(heads, sketches).groupBy("component").agg(F.max_by(F.struct("a", "b"), F.struct("k", "a", "b")).alias("p"))
-    first = settle_table(first.unionByName(_linked(heads.select("p.*"), docs, text, sketches)))
-    found = components(first)
+    # What the first round left apart, list by list, as long as stars halve it.
+    members = lists.select("sig", "set", "n", "room").unionByName(lists.select("sig", "head.*").distinct())
+    members = _open(members, found)
+    apart = members.count()
+    while apart:
+        first = settle_table(first.unionByName(_linked(_stars(members, sketches), docs, text, sketches)))
+        found = components(first)
+        members, before = _open(members, found), apart
+        apart = members.count()
+        if 2 * apart > before:
+            break
     # All that is still apart.
-    placed = _placed(members, found)
-    whole = placed.groupBy("sig").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"),
-        F.count("*").alias("k"), F.sum(F.xxhash64("set", "n", "room").cast("decimal(38,0)")).alias("who"),
-    )
-    # Lists of the same members with the same room say the same: one of them does.
-    mixed_lists = whole.where("lo != hi").groupBy("k", "who").agg(F.min("sig").alias("sig"))
-    open_lists = settle_table(placed.join(mixed_lists.select("sig"), "sig", "left_semi"))
-    a, b = open_lists.alias("a"), open_lists.alias("b")
+    a, b = members.alias("a"), members.alias("b")
     pairs = a.join(b, F.expr(f"a.sig = b.sig and a.component < b.component and {roomy('a.n', 'b.n', 'a.room', 'b.room')}"))
     pairs = pairs.select(F.least("a.set", "b.set").alias("a"), F.greatest("a.set", "b.set").alias("b")).distinct()
     second = _linked(_possible(pairs, sketches), docs, text, sketches)
