@@ -1,3 +1,4 @@
+import json
 import math
 import random
 import re
@@ -153,3 +154,26 @@ def test_plan_cuts_before_the_shuffle(spark, sf_dir, monkeypatch):
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "Python" not in plan and "MapInArrow" not in plan
+
+
+def test_a_large_batch_goes_in_groups(spark, monkeypatch):
+    """Beyond the broadcast bound no pair of query and document is joined; the result is that of one broadcast."""
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(i % 9)) for i in range(80)] + ["", None]
+    asked = queries(spark, [f"w{i % 23} w{(i * 7) % 23} common" for i in range(40)] + ["", None], 5)
+    index = LexicalIndex.build(documents(spark, texts))
+    whole = sorted(tuple(r) for r in index.search(asked).select("query_id", "rank", "pos", F.round("score", 7)).collect())
+    monkeypatch.setattr(lexical, "BLOCK_RESULTS", 60)
+    monkeypatch.setattr(LexicalIndex, "scores", None)
+    found = index.search(asked)
+    assert sorted(tuple(r) for r in found.select("query_id", "rank", "pos", F.round("score", 7)).collect()) == whole
+
+
+def test_frequent_terms_as_a_matrix(spark, monkeypatch):
+    """Sums by matrix and by posting agree."""
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(i % 9)) for i in range(80)]
+    asked = queries(spark, [f"w{i % 23} w{(i * 7) % 23} w1 w1" for i in range(40)], 5)
+    index, found = LexicalIndex.build(documents(spark, texts)), []
+    for share in (0.0, 2.0):
+        monkeypatch.setattr(lexical, "DENSE_SHARE", share)
+        found.append(sorted(tuple(r) for r in index.search(asked).select("query_id", "rank", "pos", F.round("score", 7)).collect()))
+    assert found[0] == found[1]
