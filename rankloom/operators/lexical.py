@@ -40,6 +40,8 @@ SCORE_DIGITS, MEAN_DIGITS = 9, 10
 BLOCK_WORDS, BLOCK_RESULTS, BLOCK_CELLS = 2_000_000, 2_000_000, 4_000_000
 # Weights and queries of a group of a larger batch, and the top_k up to which it is cut so.
 GROUP_WEIGHTS, GROUP_QUERIES, GROUP_K = 500_000, 16_384, 10_000
+# Pairs of query and document that a task sums on average, and tasks at most.
+PART_PAIRS, MOST_PARTS = 2_000_000, 4_096
 # Share of all pairs of query and document beyond which a term is summed as a column of a matrix.
 DENSE_SHARE = 0.005
 
@@ -234,12 +236,14 @@ class LexicalIndex:
 
     Without packed rows (a saved index) the postings are a bucketed table, which
     Spark knows to be hashed by pos, so that scoring needs no shuffle for them.
+    Where they are not (hashed is false), those of query terms are sent by pos.
     """
 
     entries: DataFrame
     terms: DataFrame
     stats: CorpusStats
     packed: DataFrame | None = None
+    hashed: bool = True
 
     @classmethod
     def build(cls, docs: DataFrame) -> "LexicalIndex":
@@ -271,8 +275,8 @@ class LexicalIndex:
         weights, n = self.query_terms(batch), batch.words
         wanted = small_side(weights.select("term").distinct(), n)
         matched = self.entries.join(wanted, "term", "left_semi")
-        if self.packed is not None:
-            matched = matched.repartition("pos")
+        if self.packed is not None or not self.hashed:
+            matched = self._by_document(matched, batch)
         k1, b = fv.BM25_K1, fv.BM25_B
         rest = k1 * (1 - b + b * F.col("length") / F.lit(self.stats.mean_length or 1.0))
         gain = F.col("weight") * F.col("tf") * (k1 + 1) / (F.col("tf") + rest)
@@ -282,6 +286,13 @@ class LexicalIndex:
             .agg(F.sum(gain).alias("score"))
         )
 
+    def _by_document(self, matched: DataFrame, batch: QueryBatch) -> DataFrame:
+        """Postings hashed by pos, so that (query, pos) is summed where they are; a task sums PART_PAIRS of these on average."""
+        pairs = self.stats.documents * (batch.rows or 0)
+        parts = min(MOST_PARTS, -(-pairs // PART_PAIRS))
+        usual = int(matched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return matched.repartition(parts, "pos") if parts > usual else matched.repartition("pos")
+
     def search(self, queries: DataFrame | QueryBatch) -> DataFrame:
         """(query_id, pos, score, rank): the best top_k documents of every query.
 

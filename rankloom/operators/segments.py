@@ -22,8 +22,8 @@ from ..session import settle_table
 from .lexical import LexicalIndex, corpus_stats, packed_documents, postings, term_table
 
 FORMAT = 1
-#: Postings in a file of a segment.
-FILE_POSTINGS = 20_000_000
+#: Postings in a file of a segment at most, and below which a file isn't cut for the sake of more tasks.
+FILE_POSTINGS, LEAST_POSTINGS = 20_000_000, 1_000_000
 POSTINGS = "pos bigint, length bigint, term string, tf int"
 TERMS = "term string, df bigint, cf bigint, documents bigint, low bigint, high bigint, marks bigint"
 
@@ -77,7 +77,7 @@ class SegmentedIndex:
         terms = settle_table(self._terms(spark))
         parts = [self._read(spark, s, "postings", POSTINGS) for s in self.segments]
         rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], POSTINGS)
-        return LexicalIndex(rows, terms, corpus_stats(terms))
+        return LexicalIndex(rows, terms, corpus_stats(terms), hashed=False)
 
     def _terms(self, spark: SparkSession) -> DataFrame:
         parts = [self._read(spark, s, "terms", TERMS) for s in self.segments]
@@ -87,10 +87,13 @@ class SegmentedIndex:
         return spark.read.schema(schema).parquet(f"{self.path}/{segment}/{table}")
 
     def _write(self, rows: DataFrame, terms: DataFrame, file_postings: int) -> str:
-        """A new segment: as many files as its postings ask for, each of some documents, sorted by term, with bloom filters."""
+        """A new segment: as many files as its postings ask for, each of some documents, sorted by term, with bloom filters.
+
+        A file is a task's work, so a large segment has a file for each core.
+        """
         name = f"segment-{uuid.uuid4().hex}"
         n = terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-        files = max(1, -(-n // file_postings))
+        files = max(1, -(-n // file_postings), min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // LEAST_POSTINGS)))
         (
             rows.repartition(files, "pos").sortWithinPartitions("term", "pos")
             .write.option("parquet.bloom.filter.enabled#term", "true")

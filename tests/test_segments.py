@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rankloom.operators import segments
 from rankloom.operators.lexical import LexicalIndex
+from rankloom.operators.ordering import QueryBatch
 from rankloom.operators.segments import SegmentedIndex, versions
 
 TEXTS = ["red fox", "red red hen", "", "blue hen", None, "fox and hen", "the red dog", "dog", "fox fox", "hen"]
@@ -46,3 +48,16 @@ def test_faults_are_told(spark, tmp_path):
     with pytest.raises(ValueError):
         SegmentedIndex.open(spark, path, 7)
     assert index.append(docs.where("pos < 0")).version == 1
+
+
+def test_segments_are_written_and_scored_in_many_tasks(spark, tmp_path, monkeypatch):
+    """A large segment has a file for each core, and (query, document) is summed where a document's postings are."""
+    monkeypatch.setattr(segments, "LEAST_POSTINGS", 2)
+    docs = spark.createDataFrame([(i, None, t) for i, t in enumerate(TEXTS)], "pos bigint, title string, body string")
+    asked = QueryBatch.of(spark.createDataFrame([(0, "red fox", 4)], "query_id bigint, text string, top_k int"))
+    index = SegmentedIndex.create(spark, str(tmp_path / "index")).append(docs)
+    assert len(list(tmp_path.glob("index/segment-*/postings/part-*"))) > 2
+    plan = index.index(spark).scores(asked)._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("hashpartitioning(pos" in line for line in sent) and not any("query_id" in line for line in sent), plan
+    assert rows(index.index(spark).search(asked)) == rows(LexicalIndex.build(docs).search(asked))
