@@ -40,6 +40,8 @@ SCORE_DIGITS, MEAN_DIGITS = 9, 10
 BLOCK_WORDS, BLOCK_RESULTS, BLOCK_CELLS = 2_000_000, 2_000_000, 4_000_000
 # Weights and queries of a group of a larger batch, and the top_k up to which it is cut so.
 GROUP_WEIGHTS, GROUP_QUERIES, GROUP_K = 500_000, 16_384, 10_000
+# Postings in a bucket of a saved index on average, and buckets at most.
+BUCKET_POSTINGS, MOST_BUCKETS = 2_000_000, 100_000
 # Pairs of query and document that a task sums on average, and tasks at most.
 PART_PAIRS, MOST_PARTS = 2_000_000, 4_096
 # Share of all pairs of query and document beyond which a term is summed as a column of a matrix.
@@ -423,8 +425,15 @@ def save_index(docs: DataFrame, path: str, buckets: int = 8, body_limit: int | N
     """Write postings bucketed by document and sorted by term, and the rest beside.
 
     Inside a bucket the sort lets a read skip row groups without query terms.
+    There are `buckets` at least, and as many as BUCKET_POSTINGS ask for: a
+    bucket is one task, in writing and in scoring.
     """
     spark = docs.sparkSession
+    term_table(packed_documents(docs)).write.mode("overwrite").parquet(f"{path}/terms")
+    terms = spark.read.parquet(f"{path}/terms")
+    stats = corpus_stats(terms)
+    held = terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    buckets = max(buckets, min(MOST_BUCKETS, -(-held // BUCKET_POSTINGS)))
     table = _table_name(path, buckets)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     (
@@ -436,8 +445,6 @@ def save_index(docs: DataFrame, path: str, buckets: int = 8, body_limit: int | N
         .mode("overwrite")
         .saveAsTable(table)
     )
-    term_table(packed_documents(docs)).write.mode("overwrite").parquet(f"{path}/terms")
-    stats = corpus_stats(spark.read.parquet(f"{path}/terms"))
     manifest = {**asdict(stats), "buckets": buckets, "format": 1, "body_limit": body_limit or 0,
                 "fields": "title,body"}
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode(

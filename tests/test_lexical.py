@@ -177,3 +177,14 @@ def test_frequent_terms_as_a_matrix(spark, monkeypatch):
         monkeypatch.setattr(lexical, "DENSE_SHARE", share)
         found.append(sorted(tuple(r) for r in index.search(asked).select("query_id", "rank", "pos", F.round("score", 7)).collect()))
     assert found[0] == found[1]
+
+
+def test_buckets_follow_the_postings(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lexical, "BUCKET_POSTINGS", 3)
+    docs, path = documents(spark, [f"a b w{i} w{i + 1}" for i in range(12)]), str(tmp_path / "many")
+    save_index(docs, path)
+    held = json.loads(spark.read.text(f"{path}/manifest").first().value)
+    assert held["buckets"] == -(-12 * 4 // 3)
+    asked = queries(spark, ["a w3", "w5 w6"], 4)
+    rows = [sorted(tuple(r) for r in x.search(asked).select("query_id", "rank", "pos", F.round("score", 7)).collect()) for x in (load_index(spark, path), LexicalIndex.build(docs))]
+    assert rows[0] == rows[1]
