@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from rankloom.operators import blocks
 from rankloom.operators.blocks import BlockIndex
 from rankloom.operators.lexical import LexicalIndex
 from rankloom.operators.ordering import QueryBatch
@@ -57,3 +59,30 @@ def test_blocks_below_the_floor_stay_unread(spark, tmp_path):
     pairs = index.bounds.where("block in (3, 4)").select(F.lit(0).cast("long").alias("query_id"), "block", "slice").distinct()
     plan = index._scored(pairs, weights, QueryBatch.of(queries))._jdf.queryExecution().toString()
     assert "dynamicpruning" in plan
+
+
+def test_a_block_gives_a_query_its_best_rows_alone(spark, tmp_path, monkeypatch):
+    """Pairs of query and document are no rows; queries meet a block in parts, and postings in steps."""
+    texts = [f"the of w{i % 7} w{i % 11}" for i in range(300)]
+    docs = collection(spark, texts)
+    BlockIndex.save(docs, str(tmp_path / "index"), block=50, slices=3)
+    index = BlockIndex.load(spark, str(tmp_path / "index"))
+    batch = QueryBatch.of(asked(spark, [(f"the w{i % 7}", 2) for i in range(9)]))
+    weights = index.whole.query_terms(batch)
+    pairs = index.bounds.select("block", "slice").distinct().crossJoin(batch.df.select("query_id"))
+    whole = rows(index.search(batch))
+    assert whole == rows(LexicalIndex.build(docs).search(batch))
+    assert index._scored(pairs, weights, batch).count() == 9 * 6 * 2
+    monkeypatch.setattr(blocks, "QUERIES", 2)
+    assert index._scored(pairs, weights, batch).count() == 9 * 6 * 2
+    assert rows(index.search(batch)) == whole
+
+
+def test_postings_are_made_where_documents_arrive(spark, tmp_path, monkeypatch):
+    """Documents are sent once, by slice; their postings are not."""
+    sent = []
+    before = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (sent.append((path, self._df._jdf.queryExecution().executedPlan().toString())), before(self, path, *a, **k))[1])
+    BlockIndex.save(collection(spark, ["a b", "b c", "c"]), str(tmp_path / "index"), block=2, slices=2)
+    plans = {path.rsplit("/", 1)[1]: plan for path, plan in sent}
+    assert plans["postings"].count("Exchange") == 1 and "Exchange" not in plans["bounds"]
