@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankloom.llm import jaccard, language, mixing, pieces, quality
+from rankloom.llm.common import small_batches
 from rankloom.llm.queries import TOKENIZER
 from rankloom.session import settle_table
 
@@ -43,7 +44,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training rows: the pieces of each text, which decode to it."""
-    coded = pieces.encode(docs, TOKENIZER, keep=["doc_id", "lang", "source", "text"])
+    # Written between, so that a task runs one Python process at a time, on small batches.
+    with small_batches(spark):
+        coded = settle_table(pieces.encode(docs, TOKENIZER, keep=["doc_id", "lang", "source", "text"]))
     back = pieces.decode(coded, TOKENIZER, into="_decoded")
     return back.select(
         "doc_id", "lang", "source", "input_ids",

@@ -23,6 +23,7 @@ def annotate(
     fields: str,
     start: Callable[[], Callable[..., list]],
     keep: list[str] | None = None,
+    size: int = 4 << 20,
 ) -> DataFrame:
     """Add fields (a DDL string) made in Python from whole values of `columns`.
 
@@ -31,7 +32,7 @@ def annotate(
     Arrow array per field. Rows are neither
     shuffled nor reordered. `keep` names the input columns of the result (all,
     if None); an input column with the name of a new field is replaced. A batch
-    is worked on in pieces of some megabytes, so memory doesn't follow the
+    is worked on in pieces of about `size` bytes, so memory doesn't follow the
     number of records in an Arrow batch.
     """
     new = _parse_datatype_string(fields)
@@ -45,7 +46,7 @@ def annotate(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, size):
                 results = work(*(values(piece.column(inputs.index(c))) for c in columns))
                 arrays = [piece.column(inputs.index(c)) for c in keep]
                 arrays += [

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Callable
 from functools import cached_property
 
 import numpy as np
@@ -32,7 +33,10 @@ from pyspark.sql import DataFrame
 from .common import annotate
 
 BLANK = "▁"
-MEMO = 300_000
+#: Words that each generation of a memory holds; a task has two memories of this size, and a smaller one.
+MEMO = 200_000
+#: Bytes of ids that are decoded at once, as each id is a Python number for the while.
+DECODED = 1 << 20
 INFINITE = float("inf")
 #: Characters of a word beyond which it is solved anew each time.
 LONG = 64
@@ -89,11 +93,21 @@ class Memo(dict):
 
 
 class Outputs(dict):
-    """What an id gives; unknown ones give nothing."""
+    """What an id gives; unknown ones give nothing. Decoding needs this alone, not the transducer."""
+
+    @classmethod
+    def of(cls, vocabulary: Vocabulary) -> Outputs:
+        made = {i: p.replace(BLANK, " ").encode() for p, (i, _) in vocabulary.pieces.items()}
+        return cls(made | {i: bytes([b]) for b, i in vocabulary.bytes.items()})
 
     def __missing__(self, number):
         return b""
 
+    def text(self, ids) -> str:
+        """The text; unknown ids give nothing, bytes that aren't UTF-8 give U+FFFD."""
+        joined = b"".join(map(self.__getitem__, ids))
+        return joined.removeprefix(b" ").decode("utf-8", "replace")
+
 
 class Transducer:
     def __init__(self, vocabulary: Vocabulary):
@@ -247,14 +261,11 @@ class Transducer:
         return b"".join(out)
 
     @cached_property
-    def outputs(self) -> dict[int, bytes]:
-        made = {i: p.replace(BLANK, " ").encode() for p, (i, _) in self.vocabulary.pieces.items()}
-        return Outputs(made | {i: bytes([b]) for b, i in self.vocabulary.bytes.items()})
+    def outputs(self) -> Outputs:
+        return Outputs.of(self.vocabulary)
 
     def decode(self, ids) -> str:
-        """The text; unknown ids give nothing, bytes that aren't UTF-8 give U+FFFD."""
-        joined = b"".join(map(self.outputs.__getitem__, ids))
-        return joined.removeprefix(b" ").decode("utf-8", "replace")
+        return self.outputs.text(ids)
 
 
 def _list_array(rows: list[bytes | None]) -> pa.Array:
@@ -265,15 +276,14 @@ def _list_array(rows: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(ends, flat, mask=pa.array([r is None for r in rows]))
 
 
-#: One per worker process and model, as its memory of words serves all tasks.
-_SHARED: dict[str, Transducer] = {}
+#: One of a kind per worker process, as a transducer's memory of words serves all tasks.
+_SHARED: dict[type, tuple[str, Transducer | Outputs]] = {}
 
 
-def _transducer(name: str, vocabulary) -> Transducer:
-    if name not in _SHARED:
-        _SHARED.clear()
-        _SHARED[name] = Transducer(Vocabulary(*vocabulary.value))
-    return _SHARED[name]
+def _shared(name: str, vocabulary, kind: type, make: Callable[[Vocabulary], Transducer | Outputs]):
+    if _SHARED.get(kind, ("", None))[0] != name:
+        _SHARED[kind] = (name, make(Vocabulary(*vocabulary.value)))
+    return _SHARED[kind][1]
 
 
 def encode(docs: DataFrame, model: str, text: str = "text", into: str = "input_ids", keep: list[str] | None = None) -> DataFrame:
@@ -288,7 +298,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "input_i
     name = f"{model}:{len(vocabulary.pieces)}"
 
     def start():
-        transducer = _transducer(name, held)
+        transducer = _shared(name, held, Transducer, Transducer)
         return lambda texts: [
             _list_array([None if t is None else transducer.encode(t.decode("utf-8", "replace")) for t in texts])
         ]
@@ -303,7 +313,7 @@ def decode(docs: DataFrame, model: str, ids: str = "input_ids", into: str = "tex
     name = f"{model}:{len(vocabulary.pieces)}"
 
     def start():
-        transducer = _transducer(name, held)
-        return lambda rows: [[None if r is None else transducer.decode(r) for r in rows]]
+        outputs = _shared(name, held, Outputs, Outputs.of)
+        return lambda rows: [[None if r is None else outputs.text(r) for r in rows]]
 
-    return annotate(docs, [ids], f"`{into}` string", start, keep=keep)
+    return annotate(docs, [ids], f"`{into}` string", start, keep=keep, size=DECODED)

@@ -410,3 +410,20 @@ def test_mix_of_many_sources(spark):
     out = mixing.mix(rows, block_rows=1).orderBy("mix_slot").collect()
     assert [r["mix_position"] for r in out] == list(range(sum(blocks.values())))
     assert shares_kept([r["source"] for r in out], blocks, {s: n**0.5 for s, n in blocks.items()})
+
+
+def test_decoding_needs_no_transducer():
+    vocabulary = pieces.Vocabulary.read(queries.TOKENIZER)
+    transducer, outputs = pieces.Transducer(vocabulary), pieces.Outputs.of(vocabulary)
+    for text in ("", " ", "a word  and\nanother", "\u2581 \U0001f600"):
+        ids = np.frombuffer(transducer.encode(text), np.int32).tolist()
+        assert outputs.text(ids) == text == transducer.decode(ids)
+
+
+def test_encoding_stage_runs_one_python_step_at_a_time(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "en", "s", "a text"), (2, None, None, None), (3, "en", "s", "")], "doc_id long, lang string, source string, text string")
+    out = corpus_pipeline.encoding_stage(spark, docs, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.restored) for r in out.collect()) == [(1, True), (2, True), (3, True)]
