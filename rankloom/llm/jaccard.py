@@ -370,20 +370,79 @@ def listed(held: list[np.ndarray], entries: list[np.ndarray]) -> tuple[list[np.n
     return [x[order] for x in held], rows
 
 
+def _best_other(x: np.ndarray, starts: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The largest of x in the rest of each entry's list; lists begin at `starts`, `of` numbers each entry's."""
+    best = np.maximum.reduceat(x, starts)
+    top = x == best[of]
+    none = np.iinfo(x.dtype).min
+    second = np.maximum.reduceat(np.where(top, none, x), starts)
+    second = np.where(np.add.reduceat(top, starts, dtype=np.int64) > 1, best, second)
+    return np.where(top, second[of], best[of])
+
+
+def _runs(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the lists of sorted signatures begin, and the number of each entry's list."""
+    new = np.ones(len(sig), bool)
+    new[1:] = sig[1:] != sig[:-1]
+    return np.nonzero(new)[0], np.cumsum(new) - 1
+
+
+def _of_several(entries: list[np.ndarray]) -> list[np.ndarray]:
+    """The entries of lists that have two or more, sorted by signature."""
+    of = _runs(entries[0])[1]
+    several = np.bincount(of)[of] > 1
+    return [x[several] for x in entries]
+
+
+def whole_lists(entries: list[np.ndarray]) -> list[np.ndarray]:
+    """Members beside the first of their list, itself a row, of whole lists: those that may be roomy with another member.
+
+    The bounds are the largest room to spare and the least size among the others, so no roomy pair is lost.
+    """
+    order = np.lexsort((entries[1], entries[0]))
+    sig, own = entries[0][order], entries[1][order]
+    once = np.ones(len(order), bool)
+    once[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
+    entries = _of_several([x[order[once]] for x in entries])
+    if len(entries[0]):
+        starts, of = _runs(entries[0])
+        size = PERCENT * entries[2].astype(np.int64)
+        spare = (100 + PERCENT) * entries[3].astype(np.int64) - size
+        partner = (_best_other(spare, starts, of) >= size) & (-_best_other(-size, starts, of) <= spare)
+        entries = _of_several([x[partner] for x in entries])
+    starts, of = _runs(entries[0])
+    return entries + [x[starts[of]] for x in entries[1:]]
+
+
+def with_heads(out: list[np.ndarray], told: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Entries beside the heads of their lists, and a row for each head whose list isn't among `told` signatures; with those now told."""
+    sig, first = np.unique(out[0], return_index=True)
+    first = first[~np.isin(sig, told, assume_unique=True)]
+    heads = [x[first] for x in (out[0], *out[4:], *out[4:])]
+    return [np.concatenate([x, y]) for x, y in zip(out, heads, strict=True)], np.union1d(told, sig)
+
+
 def _lists_of(blocks: DataFrame, parts: int) -> DataFrame:
-    """sig, set, n, room, head (set, n, room): members of lists of two sets or more beside the first member.
+    """sig, set, n, room, head (set, n, room): members of lists of two sets or more, with the first one, itself a row.
 
-    A task streams the blocks of its parts and holds one entry a signature, so a
-    list's length doesn't matter.
+    A task whose parts fit in one step leaves out members that are roomy with
+    none. Others stream the blocks and hold one entry a signature, so a list's
+    length doesn't matter.
     """
 
     def run(batches):
         kinds = (np.uint64, np.int64, np.int32, np.int32)
         held, waiting, rows = [np.zeros(0, k) for k in kinds], [], 0
-
-        def step():
-            nonlocal held
-            held, out = listed(held, [np.concatenate(x) for x in zip(*waiting, strict=True)])
+        told = np.zeros(0, np.uint64)
+
+        def step(whole=False):
+            nonlocal held, told
+            entries = [np.concatenate(x) for x in zip(*waiting, strict=True)]
+            if whole:
+                out = whole_lists(entries)
+            else:
+                held, out = listed(held, entries)
+                out, told = with_heads(out, told)
             for at in range(0, len(out[0]), 1 << 16):
                 sig, *rest = (x[at : at + (1 << 16)] for x in out)
                 own, head = rest[:3], pa.StructArray.from_arrays([pa.array(x) for x in rest[3:]], ["set", "n", "room"])
@@ -397,7 +456,7 @@ def _lists_of(blocks: DataFrame, parts: int) -> DataFrame:
                     yield from step()
                     waiting, rows = [], 0
         if rows:
-            yield from step()
+            yield from step(whole=not len(held[0]))
 
     ddl = "sig long, `set` long, n int, room int, head struct<`set`: long, n: int, room: int>"
     return blocks.repartition(parts, "part").mapInArrow(run, ddl)
@@ -470,7 +529,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, text: str, sketches: DataFrame) -
 def _open(members: DataFrame, found: DataFrame) -> DataFrame:
     """sig, set, n, room, component of the lists whose members are not yet in one component, as a written table."""
     placed = members.drop("component").join(found.withColumnRenamed("id", "set"), "set", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "set"))
+    # The join below would ask for signatures in one of two uses; asked for here, both read one exchange.
+    placed = placed.where("sig is not null").withColumn("component", F.coalesce("component", "set"))
     whole = placed.groupBy("sig").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"),
         F.count("*").alias("k"), F.sum(F.xxhash64("set", "n", "room").cast("decimal(38,0)")).alias("who"),
@@ -540,16 +600,16 @@ def _classed(docs: DataFrame, key: str, text: str) -> DataFrame:
     above = sum(sizes.pop(0, (0, 0)))  # more than the signatures of all larger sets
     sizes = {n: k for n, (k, _) in sizes.items()}
     boundary = boundary_of(sizes)
-    parts = 1 + (above + sum(k * signature_count(n, boundary) for n, k in sizes.items())) // ENTRIES
+    # Copies are counted here, so parts have less than four fifths of a step.
+    parts = 1 + 5 * (above + sum(k * signature_count(n, boundary) for n, k in sizes.items())) // (4 * ENTRIES)
     lists = settle_table(_lists_of(_with_signatures(docs, text, frequency, boundary, parts), parts))
-    heads = lists.where(roomy("n", "head.n", "room", "head.room")).select(F.col("head.set").alias("a"), F.col("set").alias("b"))
+    heads = lists.where("`set` != head.`set`").where(roomy("n", "head.n", "room", "head.room")).select(F.col("head.set").alias("a"), F.col("set").alias("b"))
     heads = heads.groupBy("a", "b").agg(F.count("*").alias("k"))
     heads = _possible(heads, sketches).groupBy("b").agg(F.max_by("a", F.struct("k", "a")).alias("a"))
     first = settle_table(_linked(heads, docs, text, sketches))
     found = components(first)
     # What the first round left apart, list by list, as long as stars halve it.
-    members = lists.select("sig", "set", "n", "room").unionByName(lists.select("sig", "head.*").distinct())
-    members = _open(members, found)
+    members = _open(lists.select("sig", "set", "n", "room"), found)
     apart = members.count()
     while apart:
         first = settle_table(first.unionByName(_linked(_stars(members, sketches), docs, text, sketches)))
