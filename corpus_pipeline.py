@@ -44,10 +44,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training rows: the pieces of each text, which decode to it."""
-    # Written between, so that a task runs one Python process at a time, on small batches.
+    # Written between, so that a task runs one Python process at a time, on small batches. Executors come
+    # here with heaps that the joins before have filled, so words are remembered in half the usual memory.
     with small_batches(spark):
-        coded = settle_table(pieces.encode(docs, TOKENIZER, keep=["doc_id", "lang", "source", "text"]))
-    back = pieces.decode(coded, TOKENIZER, into="_decoded")
+        coded = settle_table(pieces.encode(docs, TOKENIZER, keep=["doc_id", "lang", "source", "text"], memo=pieces.MEMO // 2))
+    back = pieces.decode(coded, TOKENIZER, into="_decoded", forget=True)
     return back.select(
         "doc_id", "lang", "source", "input_ids",
         F.size("input_ids").cast("long").alias("n_pieces"),

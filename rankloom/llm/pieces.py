@@ -110,10 +110,10 @@ class Outputs(dict):
 
 
 class Transducer:
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, memo: int = MEMO):
         import ahocorasick
 
-        self.vocabulary = vocabulary
+        self.vocabulary, self.memo = vocabulary, memo
         #: All pieces that end at a place of a text, found in one pass.
         self.automaton = ahocorasick.Automaton()
         for piece in vocabulary.pieces:
@@ -129,9 +129,9 @@ class Transducer:
         self.lengths: dict[str, tuple[int, ...]] = {}
         for length, tail in sorted({(len(p), p[-TAIL:]) for p in vocabulary.pieces if len(p) >= TAIL}):
             self.lengths[tail] = (length, *self.lengths.get(tail, SHORT))
-        self.states = Memo(self.state)
-        self.words = Memo(lambda word: self.ids(BLANK + word))
-        self.chunks = Memo(self.ids, MEMO // 4)
+        self.states = Memo(self.state, memo)
+        self.words = Memo(lambda word: self.ids(BLANK + word), memo)
+        self.chunks = Memo(self.ids, memo // 4)
 
     def merged(self, text: str) -> list[str]:
         """What merging leaves of a short text: the best-scored neighbours first, the left pair of equals."""
@@ -147,7 +147,7 @@ class Transducer:
 
     def between(self, arc: bytes, left: str, right: str) -> float:
         """Weight of the arc from piece to piece, or to a first piece: 0 if merging leaves just these."""
-        if len(self.weights) >= MEMO:
+        if len(self.weights) >= self.memo:
             self.weights.clear()
         weight = 0.0 if self.merged(left + right) == ([left, right] if left else [right]) else INFINITE
         self.weights[arc] = weight
@@ -286,19 +286,22 @@ def _shared(name: str, vocabulary, kind: type, make: Callable[[Vocabulary], Tran
     return _SHARED[kind][1]
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", into: str = "input_ids", keep: list[str] | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, text: str = "text", into: str = "input_ids", keep: list[str] | None = None, memo: int = MEMO
+) -> DataFrame:
     """Adds the ids of each whole text: null for a null text, no ids for an empty one.
 
     `model`: path of a model file, read here once and sent along. Bytes that
     aren't UTF-8 count as U+FFFD. Rows and other columns stay; a column of the
-    new name is replaced.
+    new name is replaced. `memo`: words that a generation of a memory holds; it
+    changes time and memory, not the ids.
     """
     vocabulary = Vocabulary.read(model)
     held = docs.sparkSession.sparkContext.broadcast((vocabulary.pieces, vocabulary.bytes))
-    name = f"{model}:{len(vocabulary.pieces)}"
+    name = f"{model}:{len(vocabulary.pieces)}:{memo}"
 
     def start():
-        transducer = _shared(name, held, Transducer, Transducer)
+        transducer = _shared(name, held, Transducer, lambda found: Transducer(found, memo))
         return lambda texts: [
             _list_array([None if t is None else transducer.encode(t.decode("utf-8", "replace")) for t in texts])
         ]
@@ -306,13 +309,20 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "input_i
     return annotate(docs, [text], f"`{into}` array<int>", start, keep=keep)
 
 
-def decode(docs: DataFrame, model: str, ids: str = "input_ids", into: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds the text of each list of ids: null for null."""
+def decode(
+    docs: DataFrame, model: str, ids: str = "input_ids", into: str = "text", keep: list[str] | None = None, forget: bool = False
+) -> DataFrame:
+    """Adds the text of each list of ids: null for null.
+
+    `forget`: workers drop what encoding remembers, for jobs in which all of it is done.
+    """
     vocabulary = Vocabulary.read(model)
     held = docs.sparkSession.sparkContext.broadcast((vocabulary.pieces, vocabulary.bytes))
     name = f"{model}:{len(vocabulary.pieces)}"
 
     def start():
+        if forget:
+            _SHARED.pop(Transducer, None)
         outputs = _shared(name, held, Outputs, Outputs.of)
         return lambda rows: [[None if r is None else outputs.text(r) for r in rows]]
 

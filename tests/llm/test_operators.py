@@ -427,3 +427,22 @@ def test_encoding_stage_runs_one_python_step_at_a_time(spark):
     out = corpus_pipeline.encoding_stage(spark, docs, "")
     assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert sorted((r.doc_id, r.restored) for r in out.collect()) == [(1, True), (2, True), (3, True)]
+
+
+def test_decoding_drops_what_encoding_remembers(spark, monkeypatch):
+    vocabulary = pieces.Vocabulary.read(queries.TOKENIZER)
+    small = pieces.Transducer(vocabulary, 40)
+    texts = [" ".join(f"word{i * j}" for i in range(60)) for j in range(1, 6)]
+    assert [small.encode(t) for t in texts] == [pieces.Transducer(vocabulary).encode(t) for t in texts]
+    assert max(map(len, (small.states, small.words, small.weights))) <= 40 and len(small.chunks) <= 10
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+
+    coded = pieces.encode(docs, queries.TOKENIZER, memo=40).localCheckpoint()
+    back = pieces.decode(coded, queries.TOKENIZER, into="again", forget=True)
+    assert back.where("again = text").count() == len(texts)
+    asked = []
+    monkeypatch.setattr(corpus_pipeline.pieces, "decode", lambda *a, f=pieces.decode, **b: asked.append(b.get("forget")) or f(*a, **b))
+    monkeypatch.setattr(corpus_pipeline.pieces, "encode", lambda *a, f=pieces.encode, **b: asked.append(b.get("memo")) or f(*a, **b))
+    rows = docs.selectExpr("doc_id", "'en' lang", "'s' source", "text")
+    assert corpus_pipeline.encoding_stage(spark, rows, "").where("not restored").count() == 0
+    assert asked == [pieces.MEMO // 2, True]
