@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from ..session import small_batches as small_batches
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -59,18 +60,6 @@ def annotate(
     return rows.mapInArrow(run, schema)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
-    """For jobs that run within: batches of about `size` bytes go to Python, however long the texts are."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def values(column: pa.Array) -> list:
     """The values; strings as their bytes, which need no decoding."""
     if pa.types.is_list(column.type) and pa.types.is_integer(column.type.value_type) and not column.flatten().null_count:
